@@ -2,5 +2,8 @@
 
 from nightshare.catalog import (  # noqa: F401
     columns,
+    analyses,
     checks,
+    measures,
+    relational,
 )

@@ -235,12 +235,12 @@ def _(s, d):
 
 @query(
     "prj26_active_filter",
-    """SELECT id, zone, round(price, 4) AS price FROM listing_income
+    """SELECT id, zone, round(price, 8) AS price FROM listing_income
     WHERE room_type IN ('STANDARD', 'PROMO') AND min_nights <= 30 AND reviews > 0 AND price IS NOT NULL AND occ IS NOT NULL""",
 )
 def _(s, d):
     keep = c.active(col("room_type"), col("min_nights"), col("reviews"), col("price"), col("occ"), ("STANDARD", "PROMO"))
-    return v.listing_income(s, d).where(keep).select("id", "zone", F.round("price", 4).alias("price"))
+    return v.listing_income(s, d).where(keep).select("id", "zone", F.round("price", 8).alias("price"))
 
 
 @query(

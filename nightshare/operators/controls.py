@@ -25,28 +25,35 @@ def week_offsets(window_days: int = 21) -> list[int]:
 
 
 def exclusion_set(
-    events: DataFrame, zone: str = "city", start: str = "start", end: str = "end", margin: int = 1,
-    holidays: DataFrame | None = None, matches: DataFrame | None = None, days: DataFrame | None = None,
+    events: DataFrame, series: DataFrame, zone: str = "city", start: str = "first_night", end: str = "last_night",
+    margin: int = 1, holidays: DataFrame | None = None, matches: DataFrame | None = None,
 ) -> DataFrame:
     """(zone, night) pairs that may not serve as controls.
 
-    Event nights with a margin, holidays (``night``) and their eves in every zone, single
-    match nights, and blocks of ``days`` (zone, night) as they are.
+    Event nights with a margin, single match nights, and the nights of the series that
+    are a holiday or its eve (``holidays`` has one column ``night`` and holds in every zone).
     """
     padded = events.select(zone, F.date_sub(start, margin).alias("__a"), F.date_add(end, margin).alias("__b"))
     out = expand_ranges(padded, "__a", "__b").select(zone, "night")
     if holidays is not None:
         eves = holidays.select(F.explode(F.array("night", F.date_sub("night", 1))).alias("night")).distinct()
-        # A zone list times a holiday list: both are small tables, spread through a common key.
-        zones = events.select(zone).distinct().withColumn("__one", F.lit(1))
-        out = out.unionByName(zones.join(eves.withColumn("__one", F.lit(1)), "__one").select(zone, "night"))
+        out = out.unionByName(series.select(zone, "night").join(eves, "night", "left_semi").select(zone, "night"))
     if matches is not None:
         out = out.unionByName(matches.select(zone, "night"))
-    if days is not None:
-        out = out.unionByName(days.select(zone, "night"))
     return out.distinct()
 
 
+def date_block(series: DataFrame, month_day_from: str, month_day_to: str, night: str = "night") -> DataFrame:
+    """Nights of the series inside a yearly block such as 12-20 to 01-07, as a holiday table."""
+    md = F.date_format(night, "MM-dd")
+    inside = (
+        md.between(month_day_from, month_day_to)
+        if month_day_from <= month_day_to
+        else (md >= month_day_from) | (md <= month_day_to)
+    )
+    return series.where(inside).select(F.col(night).alias("night")).distinct()
+
+
 def with_controls(
     targets: DataFrame,
     series: DataFrame,

@@ -2,8 +2,9 @@
 
 A window over the group key alone would sort a hot group in one task, and the
 built-in exact percentile would keep all its values in one map. Here values are
-counted first, and a hot group is then cut into slices at a deterministic sample
-of its own values. Every step after that works on (group, slice).
+counted first and cut into slices of about 0.4 per cent width by a fixed rising
+function of the value. Slice totals are a small table; only the slices that hold
+a wanted rank go on, and each is ranked by itself.
 """
 
 from __future__ import annotations
@@ -13,17 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SLICE_ROWS = 1_000_000
-SLICES = 256
-MAX_HOT_GROUPS = 1024
-
-
-def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Null-safe equality on all keys, so a null group finds its own totals."""
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & left[k].eqNullSafe(right[k])
-    return cond
+SLICES_PER_E = 256
+FINEST = 1048576.0
 
 
 def attach(df: DataFrame, totals: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
@@ -37,47 +29,43 @@ def attach(df: DataFrame, totals: DataFrame, keys: Sequence[str], how: str = "le
     return df.join(renamed, cond, how).drop(*[f"__k_{k}" for k in keys])
 
 
-def _slice_hot_groups(counts: DataFrame, keys: Sequence[str], value: str, slice_rows: int) -> DataFrame:
-    """Add ``__slice``: 0 for ordinary groups, the number of split points at or below the value for hot ones.
+def slice_of(value: Column) -> Column:
+    """A slice number that never falls as the value rises: logarithmic in size, on both sides of zero.
 
-    A group is hot above ``slice_rows`` rows and above its share of 1 / MAX_HOT_GROUPS
-    of all rows, so there are never more than MAX_HOT_GROUPS of them and the
-    broadcast split table holds about MAX_HOT_GROUPS * SLICES values at most.
+    No group can have more than about 370 000 slices whatever its size, since the
+    logarithm of a double is bounded.
     """
-    sizes = counts.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
-    total = sizes.agg(F.sum("__rows")).scalar()
-    hot = sizes.where((F.col("__rows") > slice_rows) & (F.col("__rows") > total / MAX_HOT_GROUPS))
-    sampled = attach(counts.select(*keys, value), F.broadcast(hot), keys, "inner").where(
-        F.pmod(F.xxhash64(value), F.ceil(F.col("__rows") / SLICES)) == 0
-    )
-    splits = sampled.groupBy(*keys).agg(F.array_sort(F.collect_list(value)).alias("__splits"))
-    with_splits = attach(counts, F.broadcast(splits), keys)
-    n_below = F.size(F.filter("__splits", lambda s: s <= F.col(value)))
-    return with_splits.withColumn(
-        "__slice", F.when(F.col("__splits").isNull(), 0).otherwise(n_below)
-    ).drop("__splits")
+    v = value.cast("double")
+    return F.floor(F.signum(v) * F.log1p(F.abs(v) * FINEST) * SLICES_PER_E)
 
 
-def prefix_sums(
-    counts: DataFrame, keys: Sequence[str], value: str, weight: str, slice_rows: int = SLICE_ROWS
-) -> DataFrame:
-    """For rows unique on (keys, value): add ``before`` (weight at smaller values) and ``total`` per group."""
-    sliced = _slice_hot_groups(counts, keys, value, slice_rows)
-    per_slice = sliced.groupBy(*keys, "__slice").agg(F.sum(weight).alias("__w"))
-    over_group = Window.partitionBy(*keys)
-    ordered = over_group.orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_slice.select(
+def _slice_totals(counts: DataFrame, keys: Sequence[str], weight: str) -> DataFrame:
+    """Per slice the weight in it, the weight below it and the total of its group."""
+    per_slice = counts.groupBy(*keys, "__slice").agg(F.sum(weight).alias("__w"))
+    group = Window.partitionBy(*keys)
+    below = group.orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
+    return per_slice.select(
         *keys,
         "__slice",
-        F.coalesce(F.sum("__w").over(ordered), F.lit(0)).alias("__offset"),
-        F.sum("__w").over(over_group).alias("total"),
-    )
-    inside = (
-        Window.partitionBy(*keys, "__slice").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+        "__w",
+        F.coalesce(F.sum("__w").over(below), F.lit(0)).alias("__offset"),
+        F.sum("__w").over(group).alias("total"),
     )
-    local = sliced.withColumn("__local", F.coalesce(F.sum(weight).over(inside), F.lit(0)))
-    joined = attach(local, offsets, [*keys, "__slice"], "inner")
-    return joined.withColumn("before", F.col("__offset") + F.col("__local")).drop("__offset", "__local", "__slice")
+
+
+def _rank_inside(counts: DataFrame, slices: DataFrame, keys: Sequence[str], value: str, weight: str) -> DataFrame:
+    """Rows of the given slices with the weight of all smaller values of their group."""
+    joined = attach(counts, slices, [*keys, "__slice"], "inner")
+    inside = Window.partitionBy(*keys, "__slice").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    return joined.withColumn(
+        "before", F.col("__offset") + F.coalesce(F.sum(weight).over(inside), F.lit(0))
+    ).drop("__offset", "__slice", "__w")
+
+
+def prefix_sums(counts: DataFrame, keys: Sequence[str], value: str, weight: str) -> DataFrame:
+    """For rows unique on (keys, value): add ``before`` (weight at smaller values) and ``total`` per group."""
+    sliced = counts.withColumn("__slice", slice_of(F.col(value)))
+    return _rank_inside(sliced, _slice_totals(sliced, keys, weight), keys, value, weight)
 
 
 def group_quantiles(
@@ -87,19 +75,43 @@ def group_quantiles(
     quantiles: dict[str, float],
     count_as: str | None = None,
     interpolate: bool = True,
-    slice_rows: int = SLICE_ROWS,
+    weight: str | None = None,
 ) -> DataFrame:
     """Exact quantiles per group, linear interpolation between neighbours; nulls are left out.
 
+    ``weight`` names a column with how often a row counts.
+
     With ``interpolate=False`` the element at position floor(p * n) is returned
     instead. A group whose values are all null has no row.
     """
     keys = list(keys)
     helper = [] if keys else ["__all"]
     cols = [*keys, *helper]
-    src = df.select(*keys, *[F.lit(0).alias(h) for h in helper], _col(value).alias("__v"))
-    counts = src.where(F.col("__v").isNotNull()).groupBy(*cols, "__v").agg(F.count(F.lit(1)).alias("__n"))
-    ranked = prefix_sums(counts, cols, "__v", "__n", slice_rows)
+    src = df.select(
+        *keys,
+        *[F.lit(0).alias(h) for h in helper],
+        _col(value).alias("__v"),
+        (F.col(weight) if weight else F.lit(1)).cast("bigint").alias("__w"),
+    )
+    counts = (
+        src.where(F.col("__v").isNotNull())
+        .groupBy(*cols, "__v")
+        .agg(F.sum("__w").alias("__n"))
+        .withColumn("__slice", slice_of(F.col("__v")))
+    )
+    totals = _slice_totals(counts, cols, "__n")
+
+    def ranks(p: float) -> list[Column]:
+        if not interpolate:
+            return [F.least(F.floor(F.lit(float(p)) * F.col("total")), F.col("total") - 1)]
+        pos = F.lit(float(p)) * (F.col("total") - 1)
+        return [F.floor(pos), F.ceil(pos)]
+
+    wanted = F.lit(False)
+    for p in quantiles.values():
+        for r in ranks(p):
+            wanted = wanted | ((F.col("__offset") <= r) & (r < F.col("__offset") + F.col("__w")))
+    ranked = _rank_inside(counts, totals.where(wanted), cols, "__v", "__n")
     upto = F.col("before") + F.col("__n")
 
     def at(rank: Column) -> Column:
@@ -107,12 +119,7 @@ def group_quantiles(
 
     aggs = [F.max("total").alias("__total")]
     for i, p in enumerate(quantiles.values()):
-        if interpolate:
-            pos = F.lit(float(p)) * (F.col("total") - 1)
-            aggs += [at(F.floor(pos)).alias(f"__lo{i}"), at(F.ceil(pos)).alias(f"__hi{i}")]
-        else:
-            pos = F.least(F.floor(F.lit(float(p)) * F.col("total")), F.col("total") - 1)
-            aggs += [at(pos).alias(f"__lo{i}")]
+        aggs += [at(r).alias(f"__{side}{i}") for side, r in zip(("lo", "hi"), ranks(p))]
     picked = ranked.groupBy(*cols).agg(*aggs)
     out = []
     for i, (name, p) in enumerate(quantiles.items()):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from nightshare.functions import cleaning as c
 from nightshare.functions import dates as dt
 from nightshare.operators.picks import latest_per_key, seen_span
-from nightshare.operators.prefix import attach, group_quantiles
+from nightshare.operators.prefix import attach
 
 COMPLETE_RATIO = 0.85
 MIN_PRICED_SHARE = 0.5
@@ -28,7 +28,8 @@ def dim_snapshot(
     )
     n_calendar = calendar.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_calendar"))
     base = n_listings.join(n_calendar, keys, "inner" if inner else "left")
-    median = group_quantiles(base, [city], "n_listings", {"city_median": 0.5})
+    # A city has one row per capture here, so its exact median is over a short list.
+    median = base.groupBy(city).agg(F.median("n_listings").alias("city_median"))
     return attach(base, median, [city]).select(
         c.snapshot_key(F.col(city), F.col(day)).alias("snapshot_id"),
         *keys,

@@ -20,6 +20,7 @@ def build_session(app: str = "nightshare", master: str | None = None, shuffle_pa
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
         .config("spark.sql.files.maxPartitionBytes", "128m")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     if master:
         builder = builder.master(master)

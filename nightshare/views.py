@@ -146,11 +146,61 @@ def docs(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "documents")
 
 
+# Made-up events inside the month the calendar covers: name, city, kind, first and last night.
+EVENT_RANGES = [
+    (name, city, kind, f"2024-01-{first + city:02d}", f"2024-01-{last + city:02d}")
+    for city in (0, 1, 2)
+    for name, kind, first, last in (
+        ("Winter Fair", "fair", 4, 6),
+        ("Jazz Week 2024", "festival", 10, 13),
+        ("Ring Race", "sport", 21, 21),
+        ("Cup Match", "match", 17, 17),
+        ("League Match", "match", 26, 26),
+    )
+]
+
+
+def event_ranges(spark: SparkSession, folder: str) -> DataFrame:
+    raw = spark.createDataFrame(EVENT_RANGES, "event string, city bigint, kind string, a string, b string")
+    return raw.select("event", "city", "kind", F.to_date("a").alias("first_night"), F.to_date("b").alias("last_night"))
+
+
+# Made-up districts in plane metres: two share a slanted border, one is a triangle, one lies apart.
+DISTRICTS = {
+    "D1": [(-300, -300), (0, -300), (50, 0), (-300, 20), (-300, -300)],
+    "D2": [(0, -300), (300, -300), (300, 100), (50, 0), (0, -300)],
+    "D3": [(-300, 20), (50, 0), (-40, 280), (-300, 20)],
+    "D4": [(60, 20), (320, 130), (200, 350), (60, 20)],
+}
+
+
+def districts(spark: SparkSession, folder: str) -> DataFrame:
+    rows = [(code, [(float(x), float(y)) for x, y in ring]) for code, ring in DISTRICTS.items()]
+    return spark.createDataFrame(rows, "code string, ring array<struct<x:double,y:double>>")
+
+
+def homes(spark: SparkSession, folder: str) -> DataFrame:
+    """Listings that have a place in the plane."""
+    return listing_income(spark, folder).join(points(spark, folder), "id")
+
+
+def zone_nights(spark: SparkSession, folder: str) -> DataFrame:
+    """Taken share by city and night from the nearest capture."""
+    from nightshare.plans.occupancy import zone_nights as build
+
+    return build(nights(spark, folder))
+
+
 # ---------------------------------------------------------------- star
+def capture_month():
+    """Capture month of the star. Two months are added so that near nights fall in two seasons."""
+    return F.to_date(F.trunc(F.date_add("snapshot", 60), "month")).alias("snapshot_date")
+
+
 def fact_listing(spark: SparkSession, folder: str) -> DataFrame:
     """Listing by monthly capture with price, flags and city, for the measures."""
     n = nights(spark, folder)
-    g = n.groupBy("listing_id", "city", F.to_date(F.trunc("snapshot", "month")).alias("snapshot_date")).agg(
+    g = n.groupBy("listing_id", "city", capture_month()).agg(
         F.max("price").alias("p"), F.min("lead").alias("lo"), F.max("lead").alias("hi"), F.count(F.lit(1)).alias("captures")
     )
     gone = (F.month("snapshot_date") == 12) & (F.col("city") != 0)
@@ -173,7 +223,7 @@ def fact_listing(spark: SparkSession, folder: str) -> DataFrame:
 
 def fact_calendar(spark: SparkSession, folder: str) -> DataFrame:
     return nights(spark, folder).select(
-        "listing_id", "city", F.to_date(F.trunc("snapshot", "month")).alias("snapshot_date"), "night", "lead", "taken"
+        "listing_id", "city", capture_month(), "night", "lead", "taken"
     )
 
 
@@ -241,19 +291,51 @@ FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionke
 SELECT vec_id AS id, CAST(embedding[1] AS DOUBLE) * 1000 AS x, CAST(embedding[2] AS DOUBLE) * 1000 AS y, label
 FROM embeddings""",
     "docs": "SELECT * FROM documents",
+    "event_ranges": "SELECT event, CAST(city AS BIGINT) AS city, kind, CAST(a AS DATE) AS first_night, CAST(b AS DATE) AS last_night FROM (VALUES "
+    + ", ".join(f"('{e}', {c}, '{k}', '{a}', '{b}')" for e, c, k, a, b in EVENT_RANGES)
+    + ") t(event, city, kind, a, b)",
+    "district_edges": "SELECT code, CAST(ax AS DOUBLE) AS ax, CAST(ay AS DOUBLE) AS ay, CAST(bx AS DOUBLE) AS bx, CAST(by_ AS DOUBLE) AS by_ FROM (VALUES "
+    + ", ".join(f"('{c}', {a[0]}, {a[1]}, {b[0]}, {b[1]})" for c, r in DISTRICTS.items() for a, b in zip(r, r[1:]))
+    + ") t(code, ax, ay, bx, by_)",
+    "located": """
+SELECT p.*, min(code) FILTER (odd) AS district FROM points p LEFT JOIN (
+  SELECT id, code, count(*) % 2 = 1 AS odd FROM points JOIN district_edges
+  ON (ay <= y) <> (by_ <= y) AND x < (bx - ax) * (y - ay) / (by_ - ay) + ax GROUP BY id, code) h USING (id) GROUP BY ALL""",
+    "homes": "SELECT i.*, x, y, label FROM listing_income i JOIN points p ON i.id = p.id",
+    "hexed": """
+SELECT * EXCLUDE (fq, fr, fs, rq, rr, rs),
+  CAST(CASE WHEN abs(rq - fq) > abs(rs - fs) AND abs(rq - fq) > abs(rr - fr) THEN -rs - rr ELSE rq END AS BIGINT) AS q,
+  CAST(CASE WHEN (abs(rq - fq) > abs(rs - fs) AND abs(rq - fq) > abs(rr - fr)) OR abs(rs - fs) > abs(rr - fr) THEN rr ELSE -rq - rs END AS BIGINT) AS r
+FROM (SELECT *, round_even(fq, 0) AS rq, round_even(fr, 0) AS rr, round_even(fs, 0) AS rs FROM
+  (SELECT *, -fq - fr AS fs FROM (SELECT *, (x * (sqrt(3.0) / 3) - y / 3) / 100.0 AS fq, (y * (2.0 / 3)) / 100.0 AS fr FROM located)))""",
+    "zone_nights": """
+SELECT city, night, lead, occ, listings, weekday FROM (
+  SELECT city, night, lead, avg(taken) AS occ, count(*) AS listings, CAST(isodow(night) AS INT) AS weekday,
+         row_number() OVER (PARTITION BY city, night ORDER BY lead) AS rn
+  FROM nights WHERE lead BETWEEN 0 AND 29 GROUP BY city, night, lead) WHERE rn = 1""",
     "fact_listing": """
 SELECT listing_id, city, snapshot_date, price, price IS NULL AS price_missing,
        coalesce(price = 9999, false) AS price_outlier, hi % 40 >= 28 AS long_stay, captures
 FROM (SELECT *, CASE WHEN (month(snapshot_date) = 12 AND city <> 0) OR lo % 9 = 0 THEN NULL
                      WHEN lo % 9 = 1 THEN 9999.0 ELSE p * 10 END AS price
-      FROM (SELECT listing_id, city, CAST(date_trunc('month', snapshot) AS DATE) AS snapshot_date,
+      FROM (SELECT listing_id, city, CAST(date_trunc('month', snapshot + 60) AS DATE) AS snapshot_date,
                    max(price) AS p, min(lead) AS lo, max(lead) AS hi, count(*) AS captures
             FROM nights GROUP BY ALL))""",
     "fact_calendar": """
-SELECT listing_id, city, CAST(date_trunc('month', snapshot) AS DATE) AS snapshot_date, night, lead, taken FROM nights""",
+SELECT listing_id, city, CAST(date_trunc('month', snapshot + 60) AS DATE) AS snapshot_date, night, lead, taken FROM nights""",
     "dim_listing": """
 SELECT id AS listing_id, id % 3 AS home_city, grp AS zone, (id % 3) || '|' || grp AS zone_id
 FROM customers WHERE segment <> 'MACHINERY'""",
+    "dim_snapshot": """
+SELECT city || '_' || strftime(snapshot_date, '%Y%m%d') AS snapshot_id, city, snapshot_date, n_listings, n_calendar, city_median,
+       round(n_listings / city_median, 3) AS ratio, round(n_listings / city_median, 3) >= 0.85 AS is_complete, missing_share,
+       missing_share < 0.5 AS has_price,
+       CASE WHEN month(snapshot_date) IN (3,4,5) THEN '1 spring' WHEN month(snapshot_date) IN (6,7,8) THEN '2 summer'
+            WHEN month(snapshot_date) IN (9,10,11) THEN '3 autumn' ELSE '4 winter' END AS season
+FROM (SELECT *, median(n_listings) OVER (PARTITION BY city) AS city_median FROM
+      (SELECT city, snapshot_date, count(*) AS n_listings, round(avg(CASE WHEN price_missing THEN 1.0 ELSE 0.0 END), 4) AS missing_share
+       FROM fact_listing GROUP BY ALL) LEFT JOIN
+      (SELECT city, snapshot_date, count(*) AS n_calendar FROM fact_calendar GROUP BY ALL) USING (city, snapshot_date))""",
     "listing_income": """
 SELECT b.*, p.* EXCLUDE (id), occ * 365 AS nights_year, occ * 365 * price / 12 AS income
 FROM (SELECT id, avg(stay_nights) / 50 AS occ, count(*) AS reviews, min(stay_nights) AS min_nights, min(host_id) AS host_id,
