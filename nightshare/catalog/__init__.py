@@ -4,6 +4,8 @@ from nightshare.catalog import (  # noqa: F401
     columns,
     analyses,
     checks,
+    events,
     measures,
     relational,
+    storage,
 )

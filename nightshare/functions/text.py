@@ -27,8 +27,8 @@ def text_key(text: Column) -> Column:
 
 def clean_name(text: Column, prefix: str = "Entradas", longest: int = 70) -> Column:
     """Drop a ticket prefix, a closing bracket that holds a digit, and quotes; cut to ``longest``."""
-    t = F.regexp_replace(F.btrim(text, F.lit('"')), rf"(?i)^\s*{prefix}\s+", "")
-    t = F.regexp_replace(t, r"\s*\([^)0-9]*[0-9][^)]*\)\s*$", "")
+    t = F.regexp_replace(F.btrim(text, F.lit('"')), rf"(?i)\A\s*{prefix}\s+", "")
+    t = F.regexp_replace(t, r"\s*\([^)0-9]*[0-9][^)]*\)\s*\z", "")
     return F.left(F.btrim(F.replace(t, F.lit('"'), F.lit("")), F.lit(" -")), F.lit(longest))
 
 
@@ -56,4 +56,4 @@ def _price(text: Column, free_word: str, pick) -> Column:
 
 def family_name(text: Column) -> Column:
     """An event name without its closing year."""
-    return F.regexp_replace(text, r"\s*[0-9]{4}$", "")
+    return F.regexp_replace(text, r"\s*[0-9]{4}\z", "")

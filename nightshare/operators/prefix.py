@@ -2,7 +2,7 @@
 
 A window over the group key alone would sort a hot group in one task, and the
 built-in exact percentile would keep all its values in one map. Here values are
-counted first and cut into slices of about 0.4 per cent width by a fixed rising
+counted first and cut into slices of about three per cent width by a fixed rising
 function of the value. Slice totals are a small table; only the slices that hold
 a wanted rank go on, and each is ranked by itself.
 """
@@ -10,42 +10,53 @@ a wanted rank go on, and each is ranked by itself.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SLICES_PER_E = 256
+SLICES_PER_E = 32
 FINEST = 1048576.0
 
 
 def attach(df: DataFrame, totals: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Join per-group columns back to the rows; nulls in keys match each other."""
-    renamed = totals
-    for k in keys:
-        renamed = renamed.withColumnRenamed(k, f"__k_{k}")
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"__k_{k}"))
-    return df.join(renamed, cond, how).drop(*[f"__k_{k}" for k in keys])
+    rest = [c for c in totals.columns if c not in keys]
+    right = totals.select(*[F.col(k).alias(f"__k_{k}") for k in keys], *rest)
+    cond = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys])
+    return df.join(right, cond, how).select(*df.columns, *rest)
 
 
 def slice_of(value: Column) -> Column:
     """A slice number that never falls as the value rises: logarithmic in size, on both sides of zero.
 
-    No group can have more than about 370 000 slices whatever its size, since the
+    No group can have more than about 50 000 slices whatever its size, since the
     logarithm of a double is bounded.
     """
     v = value.cast("double")
     return F.floor(F.signum(v) * F.log1p(F.abs(v) * FINEST) * SLICES_PER_E)
 
 
-def _slice_totals(counts: DataFrame, keys: Sequence[str], weight: str) -> DataFrame:
+def _by_slice(counts: DataFrame) -> DataFrame:
+    """Counts laid out by (group, slice). Slice totals, the join and the ranking all use this one layout."""
+    sliced = counts.withColumn("__slice", slice_of(F.col("__v")))
+    # The join would add this test on one side only, and the two users could no longer share the layout.
+    return sliced.where(F.col("__v").isNotNull() & F.col("__slice").isNotNull()).repartition("__key", "__slice")
+
+
+def _slice_totals(sliced: DataFrame) -> DataFrame:
     """Per slice the weight in it, the weight below it and the total of its group."""
-    per_slice = counts.groupBy(*keys, "__slice").agg(F.sum(weight).alias("__w"))
-    group = Window.partitionBy(*keys)
+    # The largest value is asked for so that both users of the layout need the same columns and share one shuffle.
+    per_slice = (
+        sliced.groupBy("__key", "__slice")
+        .agg(F.sum("__n").alias("__w"), F.max("__v").alias("__top"))
+        .where(F.col("__top").isNotNull())
+    )
+    group = Window.partitionBy("__key")
     below = group.orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
     return per_slice.select(
-        *keys,
+        "__key",
         "__slice",
         "__w",
         F.coalesce(F.sum("__w").over(below), F.lit(0)).alias("__offset"),
@@ -53,19 +64,36 @@ def _slice_totals(counts: DataFrame, keys: Sequence[str], weight: str) -> DataFr
     )
 
 
-def _rank_inside(counts: DataFrame, slices: DataFrame, keys: Sequence[str], value: str, weight: str) -> DataFrame:
-    """Rows of the given slices with the weight of all smaller values of their group."""
-    joined = attach(counts, slices, [*keys, "__slice"], "inner")
-    inside = Window.partitionBy(*keys, "__slice").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    return joined.withColumn(
-        "before", F.col("__offset") + F.coalesce(F.sum(weight).over(inside), F.lit(0))
-    ).drop("__offset", "__slice", "__w")
+def _rank_inside(sliced: DataFrame, slices: DataFrame) -> DataFrame:
+    """Rows of the given slices with the weight of all smaller values of their group.
 
+    The slice table is a fraction of the counts, so it is the side to hash; the counts
+    need no sort for the join.
+    """
+    joined = sliced.join(slices.hint("shuffle_hash"), ["__key", "__slice"])
+    inside = Window.partitionBy("__key", "__slice").orderBy("__v").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.col("__offset") + F.coalesce(F.sum("__n").over(inside), F.lit(0))
+    return joined.withColumn("before", before)
 
-def prefix_sums(counts: DataFrame, keys: Sequence[str], value: str, weight: str) -> DataFrame:
+
+def _group(keys: Sequence[str]) -> Column:
+    """The group as one value that is never null, so that null keys meet in a plain equality join."""
+    return F.struct(*(keys or [F.lit(0).alias("__all")])).alias("__key")
+
+
+def prefix_sums(df: DataFrame, keys: Sequence[str], value: str, weight: str) -> DataFrame:
     """For rows unique on (keys, value): add ``before`` (weight at smaller values) and ``total`` per group."""
-    sliced = counts.withColumn("__slice", slice_of(F.col(value)))
-    return _rank_inside(sliced, _slice_totals(sliced, keys, weight), keys, value, weight)
+    kept = [c for c in df.columns if c not in (*keys, value, weight)]
+    sliced = _by_slice(df.select(_group(keys), F.col(value).alias("__v"), F.col(weight).alias("__n"), *kept))
+    ranked = _rank_inside(sliced, _slice_totals(sliced))
+    return ranked.select(
+        *[F.col(f"__key.{k}").alias(k) for k in keys],
+        F.col("__v").alias(value),
+        F.col("__n").alias(weight),
+        *kept,
+        "before",
+        "total",
+    )
 
 
 def group_quantiles(
@@ -79,67 +107,60 @@ def group_quantiles(
 ) -> DataFrame:
     """Exact quantiles per group, linear interpolation between neighbours; nulls are left out.
 
-    ``weight`` names a column with how often a row counts.
-
-    With ``interpolate=False`` the element at position floor(p * n) is returned
-    instead. A group whose values are all null has no row.
+    ``weight`` names a column with how often a row counts. With ``interpolate=False`` the
+    element at position floor(p * n) is returned instead. A group whose values are all null
+    has no row.
     """
     keys = list(keys)
-    helper = [] if keys else ["__all"]
-    cols = [*keys, *helper]
     src = df.select(
-        *keys,
-        *[F.lit(0).alias(h) for h in helper],
-        _col(value).alias("__v"),
-        (F.col(weight) if weight else F.lit(1)).cast("bigint").alias("__w"),
-    )
-    counts = (
-        src.where(F.col("__v").isNotNull())
-        .groupBy(*cols, "__v")
-        .agg(F.sum("__w").alias("__n"))
-        .withColumn("__slice", slice_of(F.col("__v")))
-    )
-    totals = _slice_totals(counts, cols, "__n")
+        _group(keys), _col(value).alias("__v"), (F.col(weight) if weight else F.lit(1)).cast("bigint").alias("__w")
+    ).where(F.col("__v").isNotNull())
+    sliced = _by_slice(src.groupBy("__key", "__v").agg(F.sum("__w").alias("__n")))
+    n = F.col("total")
 
     def ranks(p: float) -> list[Column]:
         if not interpolate:
-            return [F.least(F.floor(F.lit(float(p)) * F.col("total")), F.col("total") - 1)]
-        pos = F.lit(float(p)) * (F.col("total") - 1)
+            return [F.least(F.floor(F.lit(float(p)) * n), n - 1)]
+        pos = F.lit(float(p)) * (n - 1)
         return [F.floor(pos), F.ceil(pos)]
 
-    wanted = F.lit(False)
-    for p in quantiles.values():
-        for r in ranks(p):
-            wanted = wanted | ((F.col("__offset") <= r) & (r < F.col("__offset") + F.col("__w")))
-    ranked = _rank_inside(counts, totals.where(wanted), cols, "__v", "__n")
-    upto = F.col("before") + F.col("__n")
+    # The wanted ranks as one array column: slices and rows are tested against it alike.
+    wanted = F.array(*[r for p in quantiles.values() for r in ranks(p)])
+    totals = _slice_totals(sliced).withColumn("__ranks", wanted)
+    hit = F.exists("__ranks", lambda r: (F.col("__offset") <= r) & (r < F.col("__offset") + F.col("__w")))
+    ranked = _rank_inside(sliced, totals.where(hit))
 
-    def at(rank: Column) -> Column:
-        return F.max(F.when((F.col("before") <= rank) & (rank < upto), F.col("__v")))
+    def at(i: int) -> Column:
+        r = F.col("__ranks")[i]
+        return F.max(F.when((F.col("before") <= r) & (r < F.col("before") + F.col("__n")), F.col("__v")))
 
-    aggs = [F.max("total").alias("__total")]
-    for i, p in enumerate(quantiles.values()):
-        aggs += [at(r).alias(f"__{side}{i}") for side, r in zip(("lo", "hi"), ranks(p))]
-    picked = ranked.groupBy(*cols).agg(*aggs)
+    step = 2 if interpolate else 1
+    picked = ranked.groupBy("__key").agg(
+        F.max("total").alias("total"), *[at(i).alias(f"__r{i}") for i in range(step * len(quantiles))]
+    )
     out = []
     for i, (name, p) in enumerate(quantiles.items()):
-        lo = F.col(f"__lo{i}")
+        lo = F.col(f"__r{step * i}")
         if interpolate:
-            pos = F.lit(float(p)) * (F.col("__total") - 1)
-            out.append((lo + (F.col(f"__hi{i}") - lo) * (pos - F.floor(pos))).alias(name))
-        else:
-            out.append(lo.alias(name))
+            pos = F.lit(float(p)) * (n - 1)
+            lo = lo + (F.col(f"__r{step * i + 1}") - lo) * (pos - F.floor(pos))
+        out.append(lo.alias(name))
     if count_as:
-        out.append(F.col("__total").alias(count_as))
-    return picked.select(*keys, *out)
+        out.append(n.alias(count_as))
+    return picked.select(*[F.col(f"__key.{k}").alias(k) for k in keys], *out)
 
 
 def many_quantiles(
-    df: DataFrame, keys: Sequence[str], values: dict[str, Column | str], quantiles: dict[str, float]
+    df: DataFrame,
+    keys: Sequence[str],
+    values: dict[str, Column | str],
+    quantiles: dict[str, float],
+    count_as: str | None = None,
 ) -> DataFrame:
     """Quantiles of several columns in one pass: columns are stacked, ranked together and spread again.
 
-    Output columns are named ``<value>_<quantile>``.
+    Output columns are named ``<value>_<quantile>``; ``count_as`` adds the number of rows that
+    have the first value.
     """
     keys = list(keys)
     stacked = df.select(
@@ -148,13 +169,11 @@ def many_quantiles(
             F.array(*[F.struct(F.lit(n).alias("__measure"), _col(v).cast("double").alias("__x")) for n, v in values.items()])
         ).alias("__s"),
     ).select(*keys, "__s.__measure", "__s.__x")
-    long = group_quantiles(stacked, [*keys, "__measure"], "__x", quantiles)
+    long = group_quantiles(stacked, [*keys, "__measure"], "__x", quantiles, count_as="__n")
+    of = lambda n, c: F.max(F.when(F.col("__measure") == n, F.col(c)))
     return long.groupBy(*keys).agg(
-        *[
-            F.max(F.when(F.col("__measure") == n, F.col(q))).alias(f"{n}_{q}")
-            for n in values
-            for q in quantiles
-        ]
+        *[of(n, q).alias(f"{n}_{q}") for n in values for q in quantiles],
+        *([of(next(iter(values)), "__n").alias(count_as)] if count_as else []),
     )
 
 

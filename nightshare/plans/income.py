@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nightshare.functions.cleaning import parse_price_strict, suppress
-from nightshare.operators.prefix import attach, group_quantiles, many_quantiles
+from nightshare.operators.prefix import group_quantiles, many_quantiles
 
 LEAST_CELL = 10
 
@@ -35,16 +35,22 @@ def with_income(df: DataFrame, occupancy: str = "occ", price: str = "price") ->
 
 
 def income_by_zone(active: DataFrame, zone: str = "zone", least: int = LEAST_CELL) -> DataFrame:
-    """Active listings with median price and nights and the income quartiles; small zones show their count only."""
-    sizes = active.groupBy(zone).agg(F.count(F.lit(1)).alias("active"))
+    """Active listings with median price and nights and the income quartiles; small zones show their count only.
+
+    Active listings have an income, so their number comes out of the same pass.
+    """
     q = many_quantiles(
-        active, [zone], {"price": "price", "nights": "nights_year", "income": "income"}, {"p25": 0.25, "median": 0.5, "p75": 0.75}
+        active,
+        [zone],
+        {"income": "income", "price": "price", "nights": "nights_year"},
+        {"p25": 0.25, "median": 0.5, "p75": 0.75},
+        count_as="active",
     )
     shown = {
         "price_median": "price_median", "nights_median": "nights_median",
         "income_p25": "income_p25", "income_median": "income_median", "income_p75": "income_p75",
     }
-    return attach(sizes, q, [zone]).select(
+    return q.select(
         zone, "active", *[suppress(F.col(c), F.col("active"), least).alias(o) for o, c in shown.items()]
     )
 

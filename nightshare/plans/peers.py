@@ -42,9 +42,10 @@ def with_peers(active: DataFrame, zone: str = "zone", guests: str = "accommodate
     """Each listing with the quartiles of its zone and capacity band; thin groups and unknown bands are left out."""
     banded = active.withColumn("band", capacity_band(F.col(guests))).where(F.col("band").isNotNull())
     keys = [zone, "band"]
-    sizes = banded.groupBy(*keys).agg(F.count(F.lit(1)).alias("peers")).where(F.col("peers") >= least)
-    q = many_quantiles(banded, keys, {"price": "price", "occ": "occ", "income": "income"}, {"q25": 0.25, "med": 0.5, "q75": 0.75})
-    return attach(attach(banded, sizes, keys, "inner"), q, keys, "inner")
+    q = many_quantiles(
+        banded, keys, {"income": "income", "price": "price", "occ": "occ"}, {"q25": 0.25, "med": 0.5, "q75": 0.75}, count_as="peers"
+    )
+    return attach(banded, q.where(F.col("peers") >= least), keys, "inner")
 
 
 def flag_gaps(peered: DataFrame) -> DataFrame:

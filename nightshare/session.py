@@ -9,7 +9,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def build_session(app: str = "nightshare", master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
+def build_session(app: str = "nightshare", master: str | None = None, shuffle_partitions: int | None = None, **settings: str) -> SparkSession:
     """A session with the settings the package relies on; cluster settings win where they are given outside."""
     builder = (
         SparkSession.builder.appName(app)
@@ -26,6 +26,8 @@ def build_session(app: str = "nightshare", master: str | None = None, shuffle_pa
         builder = builder.master(master)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    for key, value in settings.items():
+        builder = builder.config(key, value)
     return builder.getOrCreate()
 
 

@@ -45,13 +45,24 @@ def read_quoted_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
 
 
-def read_listings(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Raw listings as text, the declared columns only. Files of one call may differ in their columns."""
-    paths = [path] if isinstance(path, str) else path
+def read_listings(spark: SparkSession, path: str | list[str], same_header: bool = False) -> DataFrame:
+    """Raw listings as text, the declared columns only.
+
+    Columns drift between captures, and CSV columns are found by position, so files are read
+    together with those of the same header. There are as many reads as header versions, not as
+    files. ``same_header`` saves the look at the headers.
+    """
+    paths = [path] if isinstance(path, str) else list(path)
+    if same_header:
+        groups = [paths]
+    else:
+        versions = _first_lines(spark, paths).groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths"))
+        # File names and header lines only; the driver lists these files for the read anyway.
+        groups = [list(r["paths"]) for r in versions.orderBy("header").collect()]
     wanted = [*LISTING_LONGS, *LISTING_DOUBLES, *LISTING_DATES, *LISTING_STRINGS]
     out = None
-    for p in paths:
-        df = read_quoted_csv(spark, p)
+    for files in groups:
+        df = read_quoted_csv(spark, files)
         df = df.select(*[(F.col(c) if c in df.columns else F.lit(None).cast("string")).alias(c) for c in wanted])
         out = df if out is None else out.unionByName(df)
     return out
@@ -136,7 +147,7 @@ def list_landed(spark: SparkSession, root: str) -> DataFrame:
     return landed_files(spark, root).select("city", "date", "file")
 
 
-def _first_lines(spark: SparkSession, path: str) -> DataFrame:
+def _first_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Line count and first line of every text file; only the block at offset 0 can hold the first line."""
     lines = spark.read.option("recursiveFileLookup", True).text(path).select(
         F.col("_metadata.file_path").alias("path"),

@@ -154,8 +154,8 @@ EVENT_RANGES = [
         ("Winter Fair", "fair", 4, 6),
         ("Jazz Week 2024", "festival", 10, 13),
         ("Ring Race", "sport", 21, 21),
-        ("Cup Match", "match", 17, 17),
-        ("League Match", "match", 26, 26),
+        ("Cup Match", "match", 16, 16),
+        ("League Match", "match", 8, 8),
     )
 ]
 
@@ -165,6 +165,41 @@ def event_ranges(spark: SparkSession, folder: str) -> DataFrame:
     return raw.select("event", "city", "kind", F.to_date("a").alias("first_night"), F.to_date("b").alias("last_night"))
 
 
+# Made-up events for the official daily series.
+HOTEL_EVENTS = [
+    (f"{name} {year}", city, kind, f"{year}-{a}", f"{year}-{b}")
+    for year in (1996, 1997, 1999)
+    for name, city, kind, a, b in (
+        ("Harbour Days", "ASIA", "fair", "08-09", "08-17"),
+        ("City Run", "EUROPE", "sport", "11-10", "11-10"),
+        ("Film Week", "AFRICA", "festival", "09-20", "09-28"),
+    )
+]
+
+
+def hotel_events(spark: SparkSession, folder: str) -> DataFrame:
+    raw = spark.createDataFrame(HOTEL_EVENTS, "event string, city string, kind string, a string, b string")
+    return raw.select("event", "city", "kind", F.to_date("a").alias("first_night"), F.to_date("b").alias("last_night"))
+
+
+def hotel_daily(spark: SparkSession, folder: str) -> DataFrame:
+    """Daily occupancy by region: share of closed orders. Orders are summed by customer and day before the join."""
+    per = table(spark, folder, "orders").groupBy("o_custkey", F.to_date("o_orderdate").alias("night")).agg(
+        F.sum((F.col("o_orderstatus") == "F").cast("int")).alias("f"), F.count(F.lit(1)).alias("c")
+    )
+    city = customers(spark, folder).select(F.col("id").alias("o_custkey"), F.col("grp").alias("city"))
+    return per.join(city, "o_custkey").groupBy("city", "night").agg((F.lit(100.0) * F.sum("f") / F.sum("c")).alias("occ"))
+
+
+def excluded(spark: SparkSession, folder: str) -> DataFrame:
+    """Event nights with a day around them, and match nights, as nights that are no controls."""
+    from nightshare.operators.controls import exclusion_set
+
+    ev = event_ranges(spark, folder)
+    matches = ev.where("kind = 'match'").select("city", F.col("first_night").alias("night"))
+    return exclusion_set(ev.where("kind <> 'match'"), matches, matches=matches)
+
+
 # Made-up districts in plane metres: two share a slanted border, one is a triangle, one lies apart.
 DISTRICTS = {
     "D1": [(-300, -300), (0, -300), (50, 0), (-300, 20), (-300, -300)],
@@ -308,6 +343,15 @@ SELECT * EXCLUDE (fq, fr, fs, rq, rr, rs),
   CAST(CASE WHEN (abs(rq - fq) > abs(rs - fs) AND abs(rq - fq) > abs(rr - fr)) OR abs(rs - fs) > abs(rr - fr) THEN rr ELSE -rq - rs END AS BIGINT) AS r
 FROM (SELECT *, round_even(fq, 0) AS rq, round_even(fr, 0) AS rr, round_even(fs, 0) AS rs FROM
   (SELECT *, -fq - fr AS fs FROM (SELECT *, (x * (sqrt(3.0) / 3) - y / 3) / 100.0 AS fq, (y * (2.0 / 3)) / 100.0 AS fr FROM located)))""",
+    "excluded": """
+SELECT city, CAST(unnest(generate_series(first_night - 1, last_night + 1, INTERVAL 1 DAY)) AS DATE) AS night FROM event_ranges WHERE kind <> 'match'
+UNION SELECT city, first_night FROM event_ranges WHERE kind = 'match'""",
+    "hotel_daily": """
+SELECT r_name AS city, CAST(o_orderdate AS DATE) AS night, 100.0 * avg(CASE WHEN o_orderstatus = 'F' THEN 1.0 ELSE 0.0 END) AS occ
+FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY ALL""",
+    "hotel_events": "SELECT event, city, kind, CAST(a AS DATE) AS first_night, CAST(b AS DATE) AS last_night FROM (VALUES "
+    + ", ".join(f"('{e}', '{c}', '{k}', '{a}', '{b}')" for e, c, k, a, b in HOTEL_EVENTS)
+    + ") t(event, city, kind, a, b)",
     "zone_nights": """
 SELECT city, night, lead, occ, listings, weekday FROM (
   SELECT city, night, lead, avg(taken) AS occ, count(*) AS listings, CAST(isodow(night) AS INT) AS weekday,
