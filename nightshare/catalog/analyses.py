@@ -66,7 +66,7 @@ def _(s, d):
 
 @query(
     "an04_population_by_district",
-    """SELECT city AS district, round(sum(n), 6) AS residents FROM monthly WHERE month IN (1, 2, 3) GROUP BY city""",
+    """SELECT city AS district, CAST(sum(n) AS DOUBLE) AS residents FROM monthly WHERE month IN (1, 2, 3) GROUP BY city""",
 )
 def _(s, d):
     m = v.monthly(s, d).groupBy("city", "year").pivot("month", [1, 2, 3]).agg(F.sum("n").cast("string"))
@@ -100,7 +100,7 @@ SCENARIO_SQL = "(SELECT * FROM (VALUES " + ", ".join(
 
 @query(
     "an06_net_by_scenario",
-    f"""SELECT zone, scenario, round(gross, 6) AS gross, round(gross - gross * (pf + mf + us) - n / 12 / 3.5 * cl - fx, 6) AS net, 800.0 AS long_let_net FROM
+    f"""SELECT zone, scenario, round(gross, 6) AS gross, round(gross - gross * (pf + mf + us) - n / 12 / 3.5 * cl - fx, 6) AS net, CAST(800 AS DOUBLE) AS long_let_net FROM
     (SELECT zone, median(income) AS gross, median(nights_year) AS n FROM ({ACTIVE_SQL}) GROUP BY zone HAVING count(*) >= 10), {SCENARIO_SQL}""",
 )
 def _(s, d):
@@ -119,7 +119,7 @@ def _(s, d):
 
 @query(
     "an08_compare_zones",
-    f"""SELECT zone, active, round(net, 6) AS net, rent - 150 AS long_let_net, round(net / (rent - 150), 6) AS net_ratio FROM
+    f"""SELECT zone, active, round(net, 6) AS net, CAST(rent - 150 AS DOUBLE) AS long_let_net, round(net / (rent - 150), 6) AS net_ratio FROM
     (SELECT zone, count(*) AS active, median(income) - median(income) * 0.2 - median(nights_year) / 12 / 3.5 * 40 - 300 AS net FROM ({ACTIVE_SQL}) GROUP BY zone HAVING count(*) >= 30)
     JOIN (SELECT DISTINCT p_brand AS zone, 700.0 + 10 * length(p_brand) AS rent FROM part WHERE p_brand > 'Brand#2') USING (zone)""",
 )
@@ -491,7 +491,7 @@ def _(s, d):
 
 MERGED_SQL = CAPTURES_SQL + """, z AS (SELECT coalesce(b.id, a.id) AS id, CASE WHEN b.id IS NOT NULL THEN b.status ELSE a.status END AS status, CASE WHEN b.id IS NOT NULL THEN b.priority ELSE a.priority END AS priority,
 coalesce(b.day, a.day) AS day, CASE WHEN a.id IS NOT NULL THEN DATE '2025-01-01' ELSE DATE '2025-02-01' END AS first_seen, CASE WHEN b.id IS NOT NULL THEN DATE '2025-02-01' ELSE DATE '2025-01-01' END AS last_seen,
-CASE WHEN a.id IS NOT NULL AND b.id IS NOT NULL THEN 2 ELSE 1 END AS captures FROM a FULL JOIN b ON a.id = b.id) """
+CASE WHEN a.id IS NOT NULL AND b.id IS NOT NULL THEN 2::BIGINT ELSE 1::BIGINT END AS captures FROM a FULL JOIN b ON a.id = b.id) """
 
 
 def merged(s, d):

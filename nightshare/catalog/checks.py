@@ -30,7 +30,7 @@ def _(s, d):
 
 @query(
     "qa02_unique_key",
-    """SELECT sum(n) AS rows, count(*) AS keys, sum(n - 1) AS surplus FROM (SELECT count(*) AS n FROM lines GROUP BY stay_id, line)""",
+    """SELECT CAST(sum(n) AS BIGINT) AS rows, count(*) AS keys, CAST(sum(n - 1) AS BIGINT) AS surplus FROM (SELECT count(*) AS n FROM lines GROUP BY stay_id, line)""",
 )
 def _(s, d):
     return qa.unique_key(v.lines(s, d), ["stay_id", "line"])

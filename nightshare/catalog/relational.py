@@ -159,7 +159,7 @@ def _(s, d):
 
 @query(
     "jn16_star",
-    """SELECT coalesce(zone, 'none') AS zone, season, is_complete, count(*) AS nights, sum(taken) AS taken FROM fact_calendar
+    """SELECT coalesce(zone, 'none') AS zone, season, is_complete, count(*) AS nights, CAST(sum(taken) AS BIGINT) AS taken FROM fact_calendar
     LEFT JOIN dim_listing USING (listing_id) LEFT JOIN dim_snapshot USING (city, snapshot_date) GROUP BY ALL""",
 )
 def _(s, d):
@@ -321,7 +321,7 @@ def _(s, d):
 
 @query(
     "agg15_threshold_counts",
-    """SELECT flag, t AS threshold, count(*) FILTER (unit_price >= t) AS at_least FROM lines, (SELECT unnest([500, 1000, 2000, 4000]) AS t) GROUP BY ALL""",
+    """SELECT flag, t AS threshold, count(*) FILTER (unit_price >= t) AS at_least FROM lines, (SELECT CAST(unnest([500, 1000, 2000, 4000]) AS BIGINT) AS t) GROUP BY ALL""",
 )
 def _(s, d):
     from nightshare.plans.audit import threshold_counts
