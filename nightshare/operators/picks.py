@@ -10,7 +10,16 @@ from pyspark.sql import functions as F
 
 
 def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], chooser) -> DataFrame:
+    """The row that is first or last in an order.
+
+    With a single ordering column every other column is picked by it on its own, which keeps
+    number columns in a hash aggregate. All picks of one aggregate see the rows in the same
+    turn, so they come from the same row.
+    """
     rest = [c for c in df.columns if c not in keys]
+    if len(order) == 1 and isinstance(order[0], str):
+        picked = df.groupBy(*keys).agg(*[chooser(c, order[0]).alias(c) for c in rest])
+        return picked.select(*df.columns)
     best = df.groupBy(*keys).agg(chooser(F.struct(*rest), F.struct(*order)).alias("__row"))
     return best.select(*keys, "__row.*").select(*df.columns)
 

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SLICES_PER_E = 32
@@ -42,7 +42,7 @@ def _by_slice(counts: DataFrame) -> DataFrame:
     """Counts laid out by (group, slice). Slice totals, the join and the ranking all use this one layout."""
     sliced = counts.withColumn("__slice", slice_of(F.col("__v")))
     # The join would add this test on one side only, and the two users could no longer share the layout.
-    return sliced.where(F.col("__v").isNotNull() & F.col("__slice").isNotNull()).repartition("__key", "__slice")
+    return sliced.where("__v IS NOT NULL AND __slice IS NOT NULL").repartition("__key", "__slice")
 
 
 def _slice_totals(sliced: DataFrame) -> DataFrame:
@@ -50,17 +50,15 @@ def _slice_totals(sliced: DataFrame) -> DataFrame:
     # The largest value is asked for so that both users of the layout need the same columns and share one shuffle.
     per_slice = (
         sliced.groupBy("__key", "__slice")
-        .agg(F.sum("__n").alias("__w"), F.max("__v").alias("__top"))
-        .where(F.col("__top").isNotNull())
+        .agg(F.expr("sum(__n) AS __w"), F.expr("max(__v) AS __top"))
+        .where("__top IS NOT NULL")
     )
-    group = Window.partitionBy("__key")
-    below = group.orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
-    return per_slice.select(
+    return per_slice.selectExpr(
         "__key",
         "__slice",
         "__w",
-        F.coalesce(F.sum("__w").over(below), F.lit(0)).alias("__offset"),
-        F.sum("__w").over(group).alias("total"),
+        "coalesce(sum(__w) OVER (PARTITION BY __key ORDER BY __slice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS __offset",
+        "sum(__w) OVER (PARTITION BY __key) AS total",
     )
 
 
@@ -71,9 +69,11 @@ def _rank_inside(sliced: DataFrame, slices: DataFrame) -> DataFrame:
     need no sort for the join.
     """
     joined = sliced.join(slices.hint("shuffle_hash"), ["__key", "__slice"])
-    inside = Window.partitionBy("__key", "__slice").orderBy("__v").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.col("__offset") + F.coalesce(F.sum("__n").over(inside), F.lit(0))
-    return joined.withColumn("before", before)
+    return joined.selectExpr(
+        "*",
+        "__offset + coalesce(sum(__n) OVER (PARTITION BY __key, __slice ORDER BY __v "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before",
+    )
 
 
 def _group(keys: Sequence[str]) -> Column:
@@ -112,42 +112,36 @@ def group_quantiles(
     has no row.
     """
     keys = list(keys)
-    src = df.select(
-        _group(keys), _col(value).alias("__v"), (F.col(weight) if weight else F.lit(1)).cast("bigint").alias("__w")
-    ).where(F.col("__v").isNotNull())
-    sliced = _by_slice(src.groupBy("__key", "__v").agg(F.sum("__w").alias("__n")))
-    n = F.col("total")
-
-    def ranks(p: float) -> list[Column]:
-        if not interpolate:
-            return [F.least(F.floor(F.lit(float(p)) * n), n - 1)]
-        pos = F.lit(float(p)) * (n - 1)
-        return [F.floor(pos), F.ceil(pos)]
-
+    w = F.expr(f"CAST({f'`{weight}`' if weight else '1'} AS BIGINT) AS __w")
+    src = df.select(_group(keys), _col(value).alias("__v"), w).where("__v IS NOT NULL")
+    sliced = _by_slice(src.groupBy("__key", "__v").agg(F.expr("sum(__w) AS __n")))
+    probs = [float(p) for p in quantiles.values()]
+    if interpolate:
+        ranks = [f"{side}({p}D * (total - 1))" for p in probs for side in ("floor", "ceil")]
+    else:
+        ranks = [f"least(floor({p}D * total), total - 1)" for p in probs]
     # The wanted ranks as one array column: slices and rows are tested against it alike.
-    wanted = F.array(*[r for p in quantiles.values() for r in ranks(p)])
-    totals = _slice_totals(sliced).withColumn("__ranks", wanted)
-    hit = F.exists("__ranks", lambda r: (F.col("__offset") <= r) & (r < F.col("__offset") + F.col("__w")))
-    ranked = _rank_inside(sliced, totals.where(hit))
-
-    def at(i: int) -> Column:
-        r = F.col("__ranks")[i]
-        return F.max(F.when((F.col("before") <= r) & (r < F.col("before") + F.col("__n")), F.col("__v")))
-
-    step = 2 if interpolate else 1
+    totals = _slice_totals(sliced).selectExpr("*", f"array({', '.join(ranks)}) AS __ranks")
+    ranked = _rank_inside(sliced, totals.where("exists(__ranks, r -> __offset <= r AND r < __offset + __w)"))
     picked = ranked.groupBy("__key").agg(
-        F.max("total").alias("total"), *[at(i).alias(f"__r{i}") for i in range(step * len(quantiles))]
+        F.expr("max(total) AS total"),
+        *[
+            F.expr(f"max(CASE WHEN before <= __ranks[{i}] AND __ranks[{i}] < before + __n THEN __v END) AS __r{i}")
+            for i in range(len(ranks))
+        ],
+    )
+
+    def answer(i: int, p: float) -> str:
+        if not interpolate:
+            return f"__r{i}"
+        pos = f"({p}D * (total - 1))"
+        return f"__r{2 * i} + (__r{2 * i + 1} - __r{2 * i}) * ({pos} - floor({pos}))"
+
+    return picked.selectExpr(
+        *[f"__key.`{k}` AS `{k}`" for k in keys],
+        *[f"{answer(i, p)} AS `{name}`" for i, (name, p) in enumerate(zip(quantiles, probs))],
+        *([f"total AS `{count_as}`"] if count_as else []),
     )
-    out = []
-    for i, (name, p) in enumerate(quantiles.items()):
-        lo = F.col(f"__r{step * i}")
-        if interpolate:
-            pos = F.lit(float(p)) * (n - 1)
-            lo = lo + (F.col(f"__r{step * i + 1}") - lo) * (pos - F.floor(pos))
-        out.append(lo.alias(name))
-    if count_as:
-        out.append(n.alias(count_as))
-    return picked.select(*[F.col(f"__key.{k}").alias(k) for k in keys], *out)
 
 
 def many_quantiles(

@@ -112,17 +112,16 @@ def evaluate(
     share = F.try_divide(F.sum("__taken"), F.sum("__seen"))
     pieces: list[DataFrame] = []
 
+    # One row per listing first: distinct counts then need no copies of the fact rows, and a large
+    # group is spread over its listings.
     if "count" in need:
+        once = listings.groupBy(*by, "listing_id").agg(F.max(_ok().cast("int")).alias("__priced"))
         pieces.append(
-            listings.groupBy(*by).agg(
-                F.countDistinct("listing_id").alias("listings"),
-                F.countDistinct(F.when(_ok(), F.col("listing_id"))).alias("priced_listings"),
-            )
+            once.groupBy(*by).agg(F.count("listing_id").alias("listings"), F.sum("__priced").alias("priced_listings"))
         )
     if "per_date" in need:
-        # One row per (group, date, listing) first: the two distinct counts then cost a single shuffle of small rows.
         once = listings.groupBy(*_with(by, DATE), "listing_id").agg(F.max(_ok().cast("int")).alias("__priced"))
-        dated = once.groupBy(*_with(by, DATE)).agg(F.count(F.lit(1)).alias("__n"), F.nullif(F.sum("__priced"), F.lit(0)).alias("__p"))
+        dated = once.groupBy(*_with(by, DATE)).agg(F.count("listing_id").alias("__n"), F.nullif(F.sum("__priced"), F.lit(0)).alias("__p"))
         pieces.append(
             dated.groupBy(*by).agg(
                 F.round(F.avg("__n"), 0).alias("listings_per_month"), F.round(F.avg("__p"), 0).alias("priced_per_month")
@@ -152,13 +151,11 @@ def evaluate(
             .groupBy("city", *snap_by)
             .agg(F.min(DATE).alias("__first"), F.max(DATE).alias("__last"))
         )
-        ends = attach(listings, bounds, ["city", *snap_by], "inner")
-        pieces.append(
-            ends.groupBy(*by).agg(
-                F.countDistinct(F.when(F.col(DATE) == F.col("__first"), F.col("listing_id"))).alias("__at_first"),
-                F.countDistinct(F.when(F.col(DATE) == F.col("__last"), F.col("listing_id"))).alias("__at_last"),
-            )
+        ends = attach(listings, bounds, ["city", *snap_by], "inner").groupBy(*by, "listing_id").agg(
+            F.max((F.col(DATE) == F.col("__first")).cast("int")).alias("__a"),
+            F.max((F.col(DATE) == F.col("__last")).cast("int")).alias("__b"),
         )
+        pieces.append(ends.groupBy(*by).agg(F.sum("__a").alias("__at_first"), F.sum("__b").alias("__at_last")))
 
     out = _side_by_side(pieces, by)
 

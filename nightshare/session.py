@@ -19,6 +19,7 @@ def build_session(app: str = "nightshare", master: str | None = None, shuffle_pa
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
         .config("spark.sql.files.maxPartitionBytes", "128m")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )

@@ -64,20 +64,23 @@ def archive_changes(
 
     def load(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        if batch.isEmpty():
-            return
-        last = _finished_version(spark, f"{root}/archive", below=epoch)
-        before = None if last < 0 else spark.read.parquet(f"{root}/archive/v{last}")
-        # A key can come twice in a batch; the row that sorts last wins.
+        # A key can come twice in a batch; the row that sorts last wins. The batch is read once for the three uses below.
         rest = [c for c in batch.columns if c not in (key, day)]
-        capture = batch.groupBy(key).agg(F.max(F.struct(day, *rest)).alias("r")).select(key, "r.*")
-        when = capture.agg(F.max(day)).scalar()
-        rows = capture.drop(day)
-        if before is not None:
-            log = ar.changes(before, rows, key, watched, when).withColumn("epoch", F.lit(epoch))
-            write_partition(log, f"{root}/changes", ["epoch"])
-        after = ar.merge(before, rows, key, when)
-        after.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{root}/archive/v{epoch}")
+        capture = batch.groupBy(key).agg(F.max(F.struct(day, *rest)).alias("r")).select(key, "r.*").persist()
+        try:
+            if capture.isEmpty():
+                return
+            last = _finished_version(spark, f"{root}/archive", below=epoch)
+            before = None if last < 0 else spark.read.parquet(f"{root}/archive/v{last}")
+            when = capture.agg(F.max(day)).scalar()
+            rows = capture.drop(day)
+            if before is not None:
+                log = ar.changes(before, rows, key, watched, when).withColumn("epoch", F.lit(epoch))
+                write_partition(log, f"{root}/changes", ["epoch"])
+            after = ar.merge(before, rows, key, when)
+            after.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{root}/archive/v{epoch}")
+        finally:
+            capture.unpersist()
 
     return source.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
