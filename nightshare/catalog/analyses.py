@@ -27,8 +27,9 @@ MEAN_STAY = 3.5
 
 
 def r6(df, *columns):
-    """Publish the named columns with six decimals; the others as they are."""
-    return df.select(*[F.round(c, 6).alias(c) if c in columns else col(c) for c in df.columns])
+    """Publish the named columns with six decimals (medians of prices, shares and nights with eight); the others as they are."""
+    fine = ("price_median", "occ_median", "nights_median", "share_median")
+    return df.select(*[F.round(c, 8 if c in fine else 6).alias(c) if c in columns else col(c) for c in df.columns])
 
 
 # ---------------------------------------------------------------- income
@@ -85,8 +86,8 @@ def active(s, d):
 
 @query(
     "an05_income_by_zone",
-    f"""SELECT zone, count(*) AS active, round(median(price), 6) AS price_median, round(median(nights_year), 6) AS nights_median,
-    round(quantile_cont(income, 0.25), 6) AS income_p25, round(median(income), 6) AS income_median, round(quantile_cont(income, 0.75), 6) AS income_p75
+    f"""SELECT zone, count(*) AS active, CASE WHEN count(*) >= 10 THEN round(median(price), 8) END AS price_median, CASE WHEN count(*) >= 10 THEN round(median(nights_year), 8) END AS nights_median,
+    CASE WHEN count(*) >= 10 THEN round(quantile_cont(income, 0.25), 6) END AS income_p25, CASE WHEN count(*) >= 10 THEN round(median(income), 6) END AS income_median, CASE WHEN count(*) >= 10 THEN round(quantile_cont(income, 0.75), 6) END AS income_p75
     FROM ({ACTIVE_SQL}) GROUP BY zone""",
 )
 def _(s, d):
@@ -157,7 +158,7 @@ def _(s, d):
     "an10_host_segments",
     PEERED_SQL
     + """SELECT CASE WHEN host_homes <= 1 THEN 'private' WHEN host_homes <= 9 THEN 'small' ELSE 'professional' END AS segment, count(*) AS listings,
-    round(avg(CASE WHEN under THEN 1.0 ELSE 0.0 END), 6) AS below_q25, round(median(price), 6) AS price_median, round(median(occ), 6) AS occ_median, round(median(income), 6) AS income_median
+    round(avg(CASE WHEN under THEN 1.0 ELSE 0.0 END), 6) AS below_q25, round(median(price), 8) AS price_median, round(median(occ), 8) AS occ_median, round(median(income), 6) AS income_median
     FROM (SELECT f.*, h.host_homes FROM flagged f JOIN (SELECT host_id, count(*) AS host_homes FROM listing_income GROUP BY host_id) h USING (host_id)) GROUP BY 1""",
 )
 def _(s, d):
@@ -247,7 +248,7 @@ def _(s, d):
 
 @query(
     "an36_zone_revpar",
-    """SELECT zone, count(*) AS listings, round(median(share), 6) AS share_median, round(median(price), 6) AS price_median, round(median(share) * median(price), 6) AS revpar
+    """SELECT zone, count(*) AS listings, round(median(share), 8) AS share_median, round(median(price), 8) AS price_median, round(median(share) * median(price), 6) AS revpar
     FROM (SELECT id AS listing_id, zone, price FROM listing_income) JOIN (SELECT listing_id, avg(taken) AS share FROM nights GROUP BY 1) USING (listing_id) GROUP BY zone HAVING count(*) >= 5""",
 )
 def _(s, d):
@@ -259,7 +260,7 @@ def _(s, d):
 EXCLUDED_MONTHS = ("1996-05", "1998-08")
 MONTHLY_CALM = "(SELECT * FROM monthly WHERE NOT (city = 'NATION_1' AND period IN ('1996-05', '1998-08')))"
 FIT = """round(100 * (exp(10 * regr_slope(y, x)) - 1), 6) AS pct_per_10pp,
-round(1000 * sqrt((regr_syy(y, x) - regr_slope(y, x) ** 2 * regr_sxx(y, x)) / (count(*) - 2) / regr_sxx(y, x)), 6) AS error_pct, round(corr(y, x), 6) AS r, count(*) AS months"""
+round(1000 * sqrt((regr_syy(y, x) - regr_slope(y, x) ** 2 * regr_sxx(y, x)) / (count(*) - 2) / regr_sxx(y, x)), 6) AS error_pct, round(CASE WHEN var_pop(y) > 0 AND var_pop(x) > 0 THEN corr(y, x) END, 6) AS r, count(*) AS months"""
 ELASTICITY_SQL = f"""WITH calm AS {MONTHLY_CALM}, xy AS (
     SELECT a.city, 'year over year' AS method, ln(a.adr / b.adr) AS y, a.occ - b.occ AS x FROM calm a JOIN calm b ON a.city = b.city AND a.month = b.month AND a.year = b.year + 1
     UNION ALL SELECT city, 'within year', ln(adr) - avg(ln(adr)) OVER w, occ - avg(occ) OVER w FROM calm WINDOW w AS (PARTITION BY city, year)) """
@@ -333,7 +334,7 @@ def _(s, d):
     "an32_validate_occupancy",
     VALIDATION_SQL
     + """SELECT city, count(*) AS months, round(avg(official), 6) AS official_mean, round(avg(measured), 6) AS measured_mean, round(avg(difference), 6) AS difference_mean,
-    round(avg(difference) FILTER (substring(period, 6, 2) IN ('07', '08')), 6) AS summer_difference, round(corr(official, measured), 6) AS r FROM v GROUP BY city""",
+    round(avg(difference) FILTER (substring(period, 6, 2) IN ('07', '08')), 6) AS summer_difference, round(CASE WHEN var_pop(official) > 0 AND var_pop(measured) > 0 THEN corr(official, measured) END, 6) AS r FROM v GROUP BY city""",
 )
 def _(s, d):
     return r6(_validation(s, d)[1], "official_mean", "measured_mean", "difference_mean", "summer_difference", "r")
@@ -408,8 +409,8 @@ def _(s, d):
 
 METRICS = """count(*) FILTER (room_type <> 'PROMO') AS homes, round(avg(CASE WHEN room_type <> 'PROMO' THEN 0.0 ELSE 1.0 END), 6) AS room_share,
 CASE WHEN count(*) FILTER (room_type <> 'PROMO') >= 10 THEN round(count(*) FILTER (room_type <> 'PROMO' AND reviews >= 30) * 1.0 / count(*) FILTER (room_type <> 'PROMO'), 6) END AS pro_share,
-count(*) FILTER (act) AS active, CASE WHEN count(*) FILTER (act) >= 10 THEN round(median(price) FILTER (act), 6) END AS price_median,
-CASE WHEN count(*) FILTER (act) >= 10 THEN round(median(occ) FILTER (act), 6) END AS occ_median, CASE WHEN count(*) FILTER (act) >= 10 THEN round(quantile_cont(income, 0.25) FILTER (act), 6) END AS income_p25,
+count(*) FILTER (act) AS active, CASE WHEN count(*) FILTER (act) >= 10 THEN round(median(price) FILTER (act), 8) END AS price_median,
+CASE WHEN count(*) FILTER (act) >= 10 THEN round(median(occ) FILTER (act), 8) END AS occ_median, CASE WHEN count(*) FILTER (act) >= 10 THEN round(quantile_cont(income, 0.25) FILTER (act), 6) END AS income_p25,
 CASE WHEN count(*) FILTER (act) >= 10 THEN round(median(income) FILTER (act), 6) END AS income_median, CASE WHEN count(*) FILTER (act) >= 10 THEN round(quantile_cont(income, 0.75) FILTER (act), 6) END AS income_p75,
 CASE WHEN count(*) FILTER (act) >= 10 THEN round(median(income) FILTER (act) / 900.0, 6) END AS times_long_let"""
 
@@ -557,7 +558,7 @@ STEPS = " + ".join(f"CASE WHEN u >= {p} THEN 1 ELSE 0 END" for p in au.POISSON_O
     "an33_bootstrap_ci",
     f"""WITH l AS (SELECT listing_id, city, avg(taken) AS occ, max(price) AS price FROM nights GROUP BY ALL),
     dr AS (SELECT *, {STEPS} AS w FROM (SELECT *, CAST('0x' || left(md5(listing_id || '|' || rep), 8) AS BIGINT) / 4294967296.0 AS u FROM l, (SELECT unnest(generate_series(1, 40)) AS rep))),
-    mn AS (SELECT city, rep, sum(w * occ) / sum(w) AS stat FROM dr GROUP BY ALL),
+    mn AS (SELECT city, rep, sum(w * occ) / sum(w) AS stat FROM dr WHERE w > 0 GROUP BY ALL),
     md AS (SELECT city, rep, median(price) AS stat FROM (SELECT city, rep, price, unnest(generate_series(1, w)) FROM dr WHERE w > 0) GROUP BY ALL)
     SELECT city, round(a.lo, 6) AS mean_low, round(a.hi, 6) AS mean_high, round(b.lo, 6) AS median_low, round(b.hi, 6) AS median_high FROM
     (SELECT city, quantile_cont(stat, 0.025) AS lo, quantile_cont(stat, 0.975) AS hi FROM mn GROUP BY city) a JOIN

@@ -11,6 +11,7 @@ from nightshare.operators import picks
 from nightshare.operators.prefix import attach, group_quantiles, many_quantiles
 from nightshare.plans import gold
 from nightshare.plans import occupancy as occ
+from nightshare.plans.audit import correlation
 from nightshare.registry import query
 
 col = F.col
@@ -146,7 +147,7 @@ def _(s, d):
 
 @query(
     "jn15_scenarios",
-    """SELECT l.id, scenario, round(unit_price * stay_nights * (1 - fee), 4) AS net FROM lines l,
+    """SELECT l.id, scenario, round(unit_price * stay_nights * (1 - fee), 8) AS net FROM lines l,
     (SELECT * FROM (VALUES ('own', 0.15), ('manager', 0.35)) t(scenario, fee)) WHERE stay_nights >= 49""",
 )
 def _(s, d):
@@ -154,7 +155,7 @@ def _(s, d):
 
     ln = v.lines(s, d).where("stay_nights >= 49")
     out = with_scenarios(ln, {"own": {"fee": 0.15}, "manager": {"fee": 0.35}})
-    return out.select("id", "scenario", F.round(col("unit_price") * col("stay_nights") * (1 - col("fee")), 4).alias("net"))
+    return out.select("id", "scenario", F.round(col("unit_price") * col("stay_nights") * (1 - col("fee")), 8).alias("net"))
 
 
 @query(
@@ -201,21 +202,21 @@ def _(s, d):
     )
 
 
-@query("agg03_median", "SELECT host_id, round(median(unit_price), 4) AS median_price FROM lines GROUP BY host_id")
+@query("agg03_median", "SELECT host_id, round(median(unit_price), 8) AS median_price FROM lines GROUP BY host_id")
 def _(s, d):
     return group_quantiles(v.lines(s, d), ["host_id"], F.col("unit_price"), {"m": 0.5}).select(
-        "host_id", F.round("m", 4).alias("median_price")
+        "host_id", F.round("m", 8).alias("median_price")
     )
 
 
 @query(
     "agg04_quantiles",
-    """SELECT flag, round(quantile_cont(unit_price, 0.25), 4) AS p25, round(quantile_cont(unit_price, 0.75), 4) AS p75,
-    round(quantile_cont(unit_price, 0.05), 4) AS p5, round(quantile_cont(unit_price, 0.95), 4) AS p95, count(*) AS n FROM lines GROUP BY flag""",
+    """SELECT flag, round(quantile_cont(unit_price, 0.25), 8) AS p25, round(quantile_cont(unit_price, 0.75), 8) AS p75,
+    round(quantile_cont(unit_price, 0.05), 8) AS p5, round(quantile_cont(unit_price, 0.95), 8) AS p95, count(*) AS n FROM lines GROUP BY flag""",
 )
 def _(s, d):
     q = group_quantiles(v.lines(s, d), ["flag"], "unit_price", {"p25": 0.25, "p75": 0.75, "p5": 0.05, "p95": 0.95}, count_as="n")
-    return q.select("flag", *[F.round(x, 4).alias(x) for x in ("p25", "p75", "p5", "p95")], "n")
+    return q.select("flag", *[F.round(x, 8).alias(x) for x in ("p25", "p75", "p5", "p95")], "n")
 
 
 @query(
@@ -255,15 +256,15 @@ def _(s, d):
     return v.nights(s, d).groupBy("city").agg(F.round(standard_error("price"), 6).alias("std_error"))
 
 
-@query("agg09_correlation", "SELECT city, round(corr(adr, occ), 6) AS r, count(*) AS n FROM monthly GROUP BY city")
+@query("agg09_correlation", "SELECT city, round(CASE WHEN var_pop(adr) > 0 AND var_pop(occ) > 0 THEN corr(adr, occ) END, 6) AS r, count(*) AS n FROM monthly GROUP BY city")
 def _(s, d):
-    return v.monthly(s, d).groupBy("city").agg(F.round(F.corr("adr", "occ"), 6).alias("r"), N().alias("n"))
+    return v.monthly(s, d).groupBy("city").agg(F.round(correlation("adr", "occ"), 6).alias("r"), N().alias("n"))
 
 
 @query(
     "agg10_regression",
     """SELECT city, round(regr_slope(ln(adr), occ), 8) AS slope, round(sqrt((regr_syy(ln(adr), occ) - regr_slope(ln(adr), occ) ** 2 * regr_sxx(ln(adr), occ))
-    / (count(*) - 2) / regr_sxx(ln(adr), occ)), 8) AS slope_error, round(corr(ln(adr), occ), 6) AS r, count(*) AS n FROM monthly GROUP BY city""",
+    / (count(*) - 2) / regr_sxx(ln(adr), occ)), 8) AS slope_error, round(CASE WHEN var_pop(ln(adr)) > 0 AND var_pop(occ) > 0 THEN corr(ln(adr), occ) END, 6) AS r, count(*) AS n FROM monthly GROUP BY city""",
 )
 def _(s, d):
     from nightshare.plans.elasticity import regress
@@ -276,15 +277,15 @@ def _(s, d):
 
 @query(
     "agg11_cube_quantiles",
-    """SELECT zone, accommodates, count(*) AS n, CASE WHEN count(*) >= 10 THEN round(quantile_cont(list_price, 0.25), 4) END AS p25,
-    CASE WHEN count(*) >= 10 THEN round(median(list_price), 4) END AS p50, CASE WHEN count(*) >= 10 THEN round(quantile_cont(list_price, 0.75), 4) END AS p75,
+    """SELECT zone, accommodates, count(*) AS n, CASE WHEN count(*) >= 10 THEN round(quantile_cont(list_price, 0.25), 8) END AS p25,
+    CASE WHEN count(*) >= 10 THEN round(median(list_price), 8) END AS p50, CASE WHEN count(*) >= 10 THEN round(quantile_cont(list_price, 0.75), 8) END AS p75,
     CAST(grouping(zone) * 2 + grouping(accommodates) AS BIGINT) AS level FROM parts GROUP BY CUBE (zone, accommodates)""",
 )
 def _(s, d):
     from nightshare.plans.peers import cube_quantiles
 
     out = cube_quantiles(v.parts(s, d), "zone", "accommodates", "list_price", 10)
-    return out.select("zone", "accommodates", "n", *[F.round(x, 4).alias(x) for x in ("p25", "p50", "p75")], "level")
+    return out.select("zone", "accommodates", "n", *[F.round(x, 8).alias(x) for x in ("p25", "p50", "p75")], "level")
 
 
 @query(
@@ -348,45 +349,45 @@ def _(s, d):
 
 @query(
     "agg18_privacy_suppression",
-    """SELECT zone, accommodates, count(*) AS n, CASE WHEN count(*) >= 10 THEN round(avg(list_price), 4) END AS mean_price FROM parts GROUP BY ALL""",
+    """SELECT zone, accommodates, count(*) AS n, CASE WHEN count(*) >= 10 THEN round(avg(list_price), 8) END AS mean_price FROM parts GROUP BY ALL""",
 )
 def _(s, d):
     g = v.parts(s, d).groupBy("zone", "accommodates").agg(N().alias("n"), F.avg("list_price").alias("p"))
-    return g.select("zone", "accommodates", "n", F.round(c.suppress(col("p"), col("n"), 10), 4).alias("mean_price"))
+    return g.select("zone", "accommodates", "n", F.round(c.suppress(col("p"), col("n"), 10), 8).alias("mean_price"))
 
 
 @query(
     "agg19_describe",
-    """SELECT flag, count(unit_price) AS n, round(avg(unit_price), 4) AS mean, round(stddev_samp(unit_price), 4) AS std, round(min(unit_price), 4) AS lo,
-    round(quantile_cont(unit_price, 0.25), 4) AS q1, round(median(unit_price), 4) AS q2, round(quantile_cont(unit_price, 0.75), 4) AS q3,
-    round(max(unit_price), 4) AS hi FROM lines GROUP BY flag""",
+    """SELECT flag, count(unit_price) AS n, round(avg(unit_price), 8) AS mean, round(stddev_samp(unit_price), 8) AS std, round(min(unit_price), 8) AS lo,
+    round(quantile_cont(unit_price, 0.25), 8) AS q1, round(median(unit_price), 8) AS q2, round(quantile_cont(unit_price, 0.75), 8) AS q3,
+    round(max(unit_price), 8) AS hi FROM lines GROUP BY flag""",
 )
 def _(s, d):
     from nightshare.plans.audit import describe
 
     out = describe(v.lines(s, d), ["flag"], "unit_price")
-    return out.select("flag", "n", *[F.round(x, 4).alias(x) for x in ("mean", "std", "lo", "q1", "q2", "q3", "hi")])
+    return out.select("flag", "n", *[F.round(x, 8).alias(x) for x in ("mean", "std", "lo", "q1", "q2", "q3", "hi")])
 
 
 # ---------------------------------------------------------------- windows
 @query(
     "win01_group_quantiles_on_rows",
-    """SELECT id, round(quantile_cont(list_price, 0.25) OVER w, 4) AS q25, round(quantile_cont(list_price, 0.5) OVER w, 4) AS q50,
-    round(quantile_cont(list_price, 0.75) OVER w, 4) AS q75, count(*) OVER w AS n FROM parts WINDOW w AS (PARTITION BY zone, accommodates)""",
+    """SELECT id, round(quantile_cont(list_price, 0.25) OVER w, 8) AS q25, round(quantile_cont(list_price, 0.5) OVER w, 8) AS q50,
+    round(quantile_cont(list_price, 0.75) OVER w, 8) AS q75, count(*) OVER w AS n FROM parts WINDOW w AS (PARTITION BY zone, accommodates)""",
 )
 def _(s, d):
     p = v.parts(s, d)
     q = group_quantiles(p, ["zone", "accommodates"], "list_price", {"q25": 0.25, "q50": 0.5, "q75": 0.75}, count_as="n")
-    return attach(p, q, ["zone", "accommodates"]).select("id", *[F.round(x, 4).alias(x) for x in ("q25", "q50", "q75")], "n")
+    return attach(p, q, ["zone", "accommodates"]).select("id", *[F.round(x, 8).alias(x) for x in ("q25", "q50", "q75")], "n")
 
 
 @query(
     "win02_latest_row",
-    """SELECT listing_id, snapshot, round(price, 4) AS price, n FROM listing_snap QUALIFY row_number() OVER (PARTITION BY listing_id ORDER BY snapshot DESC, grp DESC) = 1""",
+    """SELECT listing_id, snapshot, round(price, 8) AS price, n FROM listing_snap QUALIFY row_number() OVER (PARTITION BY listing_id ORDER BY snapshot DESC, grp DESC) = 1""",
 )
 def _(s, d):
     ls = v.listing_snap(s, d)
-    return picks.latest_per_key(ls, ["listing_id"], ["snapshot", "grp"]).select("listing_id", "snapshot", F.round("price", 4).alias("price"), "n")
+    return picks.latest_per_key(ls, ["listing_id"], ["snapshot", "grp"]).select("listing_id", "snapshot", F.round("price", 8).alias("price"), "n")
 
 
 @query(
@@ -476,20 +477,20 @@ def _(s, d):
 
 @query(
     "srt02_top_n",
-    "SELECT stay_id, line, id, round(unit_price, 4) AS unit_price FROM lines ORDER BY lines.unit_price DESC, stay_id, line, id LIMIT 10",
+    "SELECT stay_id, line, id, round(unit_price, 8) AS unit_price FROM lines ORDER BY lines.unit_price DESC, stay_id, line, id LIMIT 10",
 )
 def _(s, d):
     return (
         v.lines(s, d)
         .orderBy(col("unit_price").desc(), "stay_id", "line", "id")
         .limit(10)
-        .select("stay_id", "line", "id", F.round("unit_price", 4).alias("unit_price"))
+        .select("stay_id", "line", "id", F.round("unit_price", 8).alias("unit_price"))
     )
 
 
 @query(
     "srt03_reliability_sort_key",
-    """SELECT zone, CASE WHEN n >= 8 THEN 1 WHEN n >= 5 THEN 2 WHEN n >= 3 THEN 3 ELSE 4 END * 100000 - round(p, 4) AS sort_key FROM
+    """SELECT zone, CASE WHEN n >= 8 THEN 1 WHEN n >= 5 THEN 2 WHEN n >= 3 THEN 3 ELSE 4 END * 100000 - round(p, 8) AS sort_key FROM
     (SELECT zone, count(DISTINCT listing_id) AS n, avg(price) AS p FROM listing_snap GROUP BY zone) WHERE n >= 3 ORDER BY sort_key""",
 )
 def _(s, d):
@@ -497,7 +498,7 @@ def _(s, d):
 
     g = v.listing_snap(s, d).groupBy("zone").agg(F.countDistinct("listing_id").alias("n"), F.avg("price").alias("p"))
     level = c.reliability_level(col("n"), (8, 5, 3))
-    keyed = g.select("zone", reliability_sort_key(level, F.round("p", 4), 3).alias("sort_key"))
+    keyed = g.select("zone", reliability_sort_key(level, F.round("p", 8), 3).alias("sort_key"))
     return keyed.where("sort_key IS NOT NULL").orderBy("sort_key")
 
 

@@ -83,6 +83,28 @@ def _(s, d):
     return rd.read_long_series(s, path, "value", "period")
 
 
+def landed(s, d, name):
+    """The nights of each city as text files below <city>/<date>, the way raw files land."""
+    root = shared_dir(s, name)
+    n = v.nights(s, d).select("listing_id", "night", "lead", "taken", "city")
+    for city in (0, 1, 2):
+        wr.write_csv(n.where(col("city") == city), f"{root}/city{city}/2024-01-31")
+    return root
+
+
+@query("src08_list_landed", "SELECT DISTINCT 'city' || city AS city, DATE '2024-01-31' AS date FROM nights")
+def _(s, d):
+    files = rd.list_landed(s, landed(s, d, "src08"))
+    return files.where(col("file").startswith("part-")).select("city", "date").distinct()
+
+
+@query("src09_file_manifest", "SELECT 'city' || city AS city, 'listing_id,night,lead,taken,city' AS header, count(*) AS rows FROM nights GROUP BY city")
+def _(s, d):
+    m = rd.file_manifest(s, landed(s, d, "src09")).where(F.length("sha256") == 64)
+    city = F.regexp_extract("path", r"/(city\d)/", 1).alias("city")
+    return m.where("rows > 0").groupBy(city, "header").agg(F.sum("rows").alias("rows"))
+
+
 @query(
     "src10_read_matches",
     """SELECT CAST(o_orderdate AS DATE) AS date, CASE o_orderpriority WHEN '1-URGENT' THEN 'A' ELSE 'B' END AS city, CASE o_orderpriority WHEN '1-URGENT' THEN 'Urgent Club' ELSE 'Low United' END AS home_team,

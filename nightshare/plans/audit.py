@@ -15,6 +15,13 @@ def standard_error(value: str) -> Column:
     return F.stddev_samp(value) / F.sqrt(F.count(value))
 
 
+def correlation(y: str, x: str) -> Column:
+    """Correlation over complete pairs, null for a constant series. The built-in one stops the job there."""
+    yy = F.when(F.col(x).isNotNull(), F.col(y))
+    xx = F.when(F.col(y).isNotNull(), F.col(x))
+    return F.try_divide(F.covar_pop(y, x), F.stddev_pop(yy) * F.stddev_pop(xx))
+
+
 def threshold_counts(df: DataFrame, by: Sequence[str], value: str, thresholds: Sequence[float]) -> DataFrame:
     """Rows at or above each threshold, counted in one pass."""
     names = [str(t) for t in thresholds]

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nightshare.operators.prefix import attach
+from nightshare.plans.audit import correlation
 
 
 def year_over_year(monthly: DataFrame, city: str = "city") -> DataFrame:
@@ -37,7 +38,7 @@ def regress(df: DataFrame, by: Sequence[str], y: str, x: str) -> DataFrame:
     """Simple regression of y on x: slope, its standard error, correlation and size."""
     slope, sxx, syy = F.regr_slope(y, x), F.regr_sxx(y, x), F.regr_syy(y, x)
     g = df.groupBy(*by).agg(
-        slope.alias("slope"), sxx.alias("__sxx"), syy.alias("__syy"), F.corr(y, x).alias("r"), F.regr_count(y, x).alias("n")
+        slope.alias("slope"), sxx.alias("__sxx"), syy.alias("__syy"), correlation(y, x).alias("r"), F.regr_count(y, x).alias("n")
     )
     rest = F.greatest(F.col("__syy") - F.col("slope") * F.col("slope") * F.col("__sxx"), F.lit(0.0))
     error = F.sqrt(F.try_divide(F.try_divide(rest, F.col("n") - 2), F.col("__sxx")))
@@ -153,6 +154,6 @@ def validate_occupancy(official: DataFrame, measured: DataFrame, summer: Sequenc
         F.avg("measured").alias("measured_mean"),
         F.avg("difference").alias("difference_mean"),
         F.avg(F.when(hot, F.col("difference"))).alias("summer_difference"),
-        F.corr("official", "measured").alias("r"),
+        correlation("official", "measured").alias("r"),
     )
     return rows, summary

@@ -188,3 +188,11 @@ def test_first_source_wins_in_the_event_calendar(spark):
     curated = spark.createDataFrame([("opera", "Bilbao", "big", D("2025-06-01"), D("2025-06-03"))], "name string, city string, kind string, start_date date, end_date date")
     out = ev.event_calendar(agenda, curated, today, ["Bilbao"], ["show"], "Hall").collect()
     assert [(r["name"], r["rank"], str(r["end_date"])) for r in out] == [("opera", 1, "2025-06-03")]
+
+
+def test_constant_series_has_no_correlation(spark):
+    rows = [("A", "2024-07", 50.0, 50.0), ("A", "2024-08", 50.0, 60.0), ("B", "2024-07", 40.0, 41.0), ("B", "2024-08", 50.0, 51.0)]
+    df = spark.createDataFrame(rows, "city string, period string, official double, measured double")
+    _, summary = el.validate_occupancy(df.drop("measured"), df.drop("official"))
+    got = {r["city"]: (r["r"], r["summer_difference"]) for r in summary.collect()}
+    assert got["A"] == (None, 5.0) and got["B"][0] == pytest.approx(1.0)
