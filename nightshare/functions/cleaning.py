@@ -12,6 +12,11 @@ UNKNOWN_PRICE = 9999.0
 LONG_STAY_NIGHTS = 28
 SHORT_STAY_MAX_NIGHTS = 30
 
+# Marks found in the source's licence text, and where the kind of exemption stands in it.
+EXEMPT_MARK = "Exempt"
+REGISTERED_MARKS = ("Basque Country - Regional", "Spain - National")
+EXEMPT_KIND = r"Exempt - ([^<]+)"
+
 
 def cast_groups(
     df: DataFrame,
@@ -69,7 +74,7 @@ def repair_mojibake(text: Column) -> Column:
     return F.coalesce(fixed, text)
 
 
-def licence_status(text: Column, exempt: str = "Exempt", registered: Sequence[str] = ("ESFC", "ESHF")) -> Column:
+def licence_status(text: Column, exempt: str = EXEMPT_MARK, registered: Sequence[str] = REGISTERED_MARKS) -> Column:
     """none, exempt, registered or free text; the first that fits wins."""
     marked = F.lit(False)
     for m in registered:
@@ -79,7 +84,7 @@ def licence_status(text: Column, exempt: str = "Exempt", registered: Sequence[st
     )
 
 
-def exempt_type(text: Column, pattern: str) -> Column:
+def exempt_type(text: Column, pattern: str = EXEMPT_KIND) -> Column:
     return F.nullif(F.trim(F.regexp_extract(text, pattern, 1)), F.lit(""))
 
 

@@ -9,8 +9,6 @@ from nightshare.functions import cleaning as c
 from nightshare.operators import quality as qa
 from nightshare.sources import readers as rd
 
-EXEMPT = r"Exempt\s*-?\s*(.*)"
-
 
 def silver_listings(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Typed listings with price, flags and licence class; the raw licence is dropped.
@@ -34,7 +32,7 @@ def silver_listings(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         .withColumn("host_is_superhost", c.tri_bool(F.col("host_is_superhost")))
         .withColumn("neighbourhood_cleansed", c.repair_mojibake(F.col("neighbourhood_cleansed")))
         .withColumn("licence_status", c.licence_status(F.col("license")))
-        .withColumn("exempt_type", c.exempt_type(F.col("license"), EXEMPT))
+        .withColumn("exempt_type", c.exempt_type(F.col("license")))
         .drop("license")
     )
 
