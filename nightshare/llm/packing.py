@@ -147,10 +147,10 @@ class LocalSearch:
             moved = False
             while light in self.bins and self._step(light):
                 moved = True
+            if moved:  # what has changed may help the others
+                stuck.clear()
             if light in self.bins:
                 stuck.add(light)
-            elif moved:
-                stuck.clear()
         return list(self.bins.values())
 
 

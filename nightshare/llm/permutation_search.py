@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from nightshare.llm.common import saved
 from nightshare.llm.vectors import best_rows, checked, matrix, pivots, top, width
 
-PIVOTS, NEAR, SHARE, BLOCK = 128, 64, 0.08, 2048
+PIVOTS, NEAR, RERANK, BLOCK = 128, 64, 256, 2048
 
 
 def positions(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
@@ -34,15 +34,15 @@ def cosines(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     return (x * q).sum(axis=1) / (np.sqrt((x * x).sum(axis=1)) * np.sqrt((q * q).sum()))
 
 
-def permutation_top(table: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding", n_pivots: int = PIVOTS, near: int = NEAR, share: float = SHARE, block: int = BLOCK) -> DataFrame:
+def permutation_top(table: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding", n_pivots: int = PIVOTS, near: int = NEAR, rerank: int = RERANK, block: int = BLOCK) -> DataFrame:
     """query_id, rank, vec_id, score: about the k nearest rows by cosine of each query row.
 
     Pivots come from a bounded sample (``vectors.SAMPLE`` rows); every row is indexed. Rows are dealt by the
     hash of their id to blocks of about ``block`` rows; a block's inverted file holds, pivot by pivot,
     the place of that pivot in each row's permutation. A query reads the files of its ``near``
-    nearest pivots, ranks the block's rows by footrule, and the best ``share`` of them (ties to smaller ids)
-    are reranked by their exact cosine. As blocks are random parts, a block's best share is
-    about the whole table's. The queries meet all rows in blocks.
+    nearest pivots, ranks the block's rows by footrule, and the best ``rerank`` of them (ties to smaller ids)
+    are reranked by their exact cosine: an eighth of a full block. As blocks are random parts, a
+    block's best eighth is about the whole table's. The queries meet all rows in blocks.
 
     ``is_query`` is a condition on vec_id. Zero vectors and those that ``checked`` drops take no part; an
     empty table gives no row. At most 255 pivots.
@@ -78,9 +78,9 @@ def permutation_top(table: DataFrame, is_query: Column, k: int = 5, id_col: str
                 q, x = (np.frombuffer(v.as_py()).reshape(len(i), dim) for v, i in ((q_vecs, q_id), (vecs, ids)))
                 places = np.frombuffer(q_places.as_py(), np.uint8).reshape(len(q_id), -1)
                 files = np.frombuffer(posted.as_py(), np.uint8).reshape(-1, len(ids))
-                kept, out = max(4 * k + 1, int(share * len(ids))), []
+                out = []
                 for i in range(len(q_id)):
-                    at = best_rows(-footrule(places[i], files, near), ids, kept)
+                    at = best_rows(-footrule(places[i], files, near), ids, max(rerank, k + 1))
                     at = at[ids[at] != q_id[i]]
                     score = cosines(q[i], x[at])
                     out += [(int(q_id[i]), int(ids[at[j]]), float(score[j])) for j in best_rows(score, ids[at], k)]
