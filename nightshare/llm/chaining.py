@@ -192,7 +192,9 @@ def passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
     """
     seeds = saved(_seed_rows(docs, id_col, text_col, k, window), "seeds")
     first = seeds.groupBy("seed").agg(F.min("doc_id").alias("ref_id"), F.min_by("pos", F.struct("doc_id", "pos")).alias("ref_pos"), F.max(F.struct("doc_id", "pos")).alias("last"))
-    first = first.where((F.col("last.doc_id") != F.col("ref_id")) | (F.col("last.pos") != F.col("ref_pos"))).select(F.col("seed").alias("s"), "ref_id", "ref_pos")
+    first = first.where((F.col("last.doc_id") != F.col("ref_id")) | (F.col("last.pos") != F.col("ref_pos")))
+    # Written, so that the join has plain shuffles on both sides and a frequent seed's rows are split.
+    first = saved(first.select(F.col("seed").alias("s"), "ref_id", "ref_pos"), "first")
     matches = seeds.join(first, F.col("seed") == F.col("s")).where("doc_id != ref_id or pos != ref_pos").select("doc_id", "ref_id", "pos", "ref_pos")
     # min_words equal words hold that many disjoint windows, each with a seed.
     least = max(1, (min_words - k + 1) // window)
