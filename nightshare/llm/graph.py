@@ -23,8 +23,9 @@ def components(links: DataFrame) -> DataFrame:
     for _ in range(MAX_ROUNDS):
         both = stars.unionByName(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
         lowest = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("n"), F.least("a", "m").alias("m"))
-        large = both.join(lowest, F.col("a") == F.col("n")).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a > b").distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "n")
+        lowest = saved(lowest, "lowest")  # plain shuffles on both sides of the join, so that a hub's rows are split
+        large = saved(both.join(lowest, F.col("a") == F.col("n")).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a > b").distinct(), "large")
+        least = saved(large.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "n"), "least")
         joined = large.join(least, F.col("a") == F.col("n"))
         small = joined.select(F.explode(F.array(F.struct(F.col("a").alias("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("l")).select("l.a", "l.b").where("a > b").distinct()
         stars = saved(small, "links")

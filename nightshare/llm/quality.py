@@ -42,7 +42,7 @@ class Model:
         self.mean, self.scale, self.shape, self.word, self.bias, self.prior = mean, scale, shape, word, bias, prior
 
     @classmethod
-    def fit(cls, shapes: np.ndarray, words: list[np.ndarray], good: np.ndarray, rounds: int = 300, ridge: float = 1e-4) -> Model:
+    def fit(cls, shapes: np.ndarray, words: list[np.ndarray], good: np.ndarray, rounds: int = 300, rate: float = 0.5, ridge: float = 1e-4) -> Model:
         if not len(good) or good.min() == good.max():  # nothing to tell apart: every text gets the one class seen, or a half
             prior = float(good.mean()) if len(good) else 0.5
             prior = min(max(prior, 1e-3), 1 - 1e-3)
@@ -55,14 +55,14 @@ class Model:
         use = (seen[col] >= 3) & (seen[col] <= 0.2 * len(words) + 3)  # words of nearly all or of single texts tell nothing
         row, col = row[use], col[use]
         a, b, c = np.zeros(SHAPES), np.zeros(BUCKETS), 0.0
-        ga, gb, gc = np.full(SHAPES, 1e-3), np.full(BUCKETS, 1e-3), 1e-3
+        ga, gb, gc = np.full(SHAPES, 1e-6), np.full(BUCKETS, 1e-6), 1e-6
         n = len(good)
         for _ in range(rounds):  # full gradients, steps scaled by their own history
             z = x @ a + np.bincount(row, b[col], n) + c
             e = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - good
             da, db, dc = x.T @ e / n + ridge * a, np.bincount(col, e[row], BUCKETS) / n + ridge * b, e.mean()
-            ga, gb, gc = ga + da**2 * n, gb + db**2 * n, gc + dc**2 * n
-            a, b, c = a - da / np.sqrt(ga), b - db / np.sqrt(gb), c - dc / np.sqrt(gc)
+            ga, gb, gc = ga + da**2, gb + db**2, gc + dc**2
+            a, b, c = a - rate * da / np.sqrt(ga), b - rate * db / np.sqrt(gb), c - rate * dc / np.sqrt(gc)
         prior = float(np.clip(good.mean(), 1e-3, 1 - 1e-3))
         return cls(mean, scale, a, b.astype(np.float32), c, prior)
 

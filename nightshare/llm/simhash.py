@@ -204,7 +204,7 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     members = nodes.select(F.explode(tables).alias("bucket"), F.unhex("fingerprint").alias("value"), "node")
     roots = components(bucket_links(members, radius)).withColumnRenamed("node", "n")
     rooted = saved(nodes.join(roots, F.col("node") == F.col("n"), "left").select("node", F.coalesce("root", "node").alias("root"), "first"), "roots")
-    smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    smallest = saved(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "smallest")
     labels = saved(rooted.join(smallest, "root").select(F.col("node").alias("n"), "component_id"), "labels")
     return prints.join(labels, F.col("node") == F.col("n")).select("doc_id", "fingerprint", "component_id")
 
@@ -228,6 +228,6 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     members = classes.select(F.posexplode("keys").alias("k", "key"), F.col("fingerprint").alias("value"), "node").select(F.xxhash64("k", "key").alias("bucket"), "value", "node")
     roots = components(bucket_links(members, similarity_radius(similarity, 64 * parts))).withColumnRenamed("node", "n")
     rooted = saved(classes.join(roots, F.col("node") == F.col("n"), "left").select("node", F.coalesce("root", "node").alias("root"), "first"), "roots")
-    smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    smallest = saved(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "smallest")
     labels = saved(rooted.join(smallest, "root").select(F.col("node").alias("n"), "component_id"), "labels")
     return prints.withColumn("node", F.xxhash64("fingerprint")).join(labels, F.col("node") == F.col("n")).select("doc_id", "component_id")
