@@ -9,7 +9,7 @@ from array import array
 
 import numpy as np
 
-BYTE_BPE, WORD_BPE, CACHE = "byte_bpe_50k.json", "word_bpe_49k.json", 800_000
+BYTE_BPE, WORD_BPE, CACHE = "byte_bpe_50k.json", "word_bpe_49k.json", 200_000
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 #: Texts with other characters, two white spaces in a row, or a letter after an apostrophe go to the library whole.
 _UNUSUAL = re.compile(rf"[^\n -~{_LETTERS}]|\s\s|'[{_LETTERS}]")
