@@ -51,40 +51,50 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float
     return found.select("_source", "source_size", target.cast("double").alias("target"))
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _draw(total: Column, own: Column, draws: Column, u: Column) -> Column:
     """Hypergeometric draw by inverse distribution from the mode outwards (12 standard deviations each way)."""
     total, own, draws = (x.cast("double") for x in (total, own, draws))
     lo, hi = F.greatest(F.lit(0.0), draws - (total - own)), F.least(draws, own)
     mode = F.least(hi, F.greatest(lo, F.floor((draws + 1) * (own + 1) / (total + 2)).cast("double")))
     spread = F.sqrt(F.greatest(F.lit(0.0), draws * own * (total - own) * (total - draws) / F.greatest(F.lit(1.0), total * total * (total - 1))))
-    reach = F.ceil(12 * spread + 12).cast("double")
-    top, low = F.least(hi, mode + reach).cast("long"), F.greatest(lo, mode - reach).cast("long")
-    start = mode.cast("long")
-    down = F.when(low < start, F.sequence(start - 1, low, F.lit(-1).cast("long"))).otherwise(F.array().cast("array<bigint>"))
-    values = F.concat(F.sequence(start, top), down)
+    given = F.struct(total.alias("t"), own.alias("k"), draws.alias("n"), u.alias("u"), mode.alias("mode"), lo.alias("lo"), hi.alias("hi"), F.ceil(12 * spread + 12).cast("double").alias("reach"))
+    return _let(given, _drawn)
+
+
+def _drawn(g: Column) -> Column:
+    top, low = F.least(g.hi, g.mode + g.reach).cast("long"), F.greatest(g.lo, g.mode - g.reach).cast("long")
 
     def ratio(x: Column) -> Column:  # weight of x + 1 over weight of x
-        return (own - x) * (draws - x) / ((x + 1) * (total - own - draws + x + 1))
-
-    def weight(w: Column, x: Column) -> Column:
-        return F.when(x == start, 1.0).when(x > start, w * ratio(x - 1)).when(x == start - 1, 1.0 / ratio(x)).otherwise(w / ratio(x))
-
-    summed = F.aggregate(values, F.struct(F.lit(1.0).alias("w"), F.lit(0.0).alias("s")), lambda a, x: F.struct(weight(a.w, x).alias("w"), (a.s + weight(a.w, x)).alias("s")), lambda a: a.s)
-    first = F.struct(F.lit(1.0).alias("w"), F.lit(0.0).alias("s"), F.lit(None).cast("long").alias("x"))
-    return F.aggregate(
-        values,
-        first,
-        lambda a, x: F.struct(weight(a.w, x).alias("w"), (a.s + weight(a.w, x)).alias("s"), F.coalesce(a.x, F.when(a.s + weight(a.w, x) >= u * summed, x)).alias("x")),
-        lambda a: F.coalesce(a.x, start),
-    )
+        return (g.k - x) * (g.n - x) / ((x + 1) * (g.t - g.k - g.n + x + 1))
+
+    def weigh(a: Column, x: Column) -> Column:
+        w = F.when(x == g["mode"], 1.0).when(x > g["mode"], a.w * ratio(x - 1)).when(x == g["mode"] - 1, 1.0 / ratio(x)).otherwise(a.w / ratio(x))
+        return _let(w, lambda v: F.struct(v.alias("w"), (a.s + v).alias("s")))
+
+    def pick(a: Column, x: Column, bound: Column) -> Column:
+        return _let(weigh(F.struct(a.w.alias("w"), a.s.alias("s")), x), lambda v: F.struct(v.w.alias("w"), v.s.alias("s"), F.coalesce(a.x, F.when(v.s >= bound, x)).alias("x")))
+
+    def from_values(values: Column) -> Column:
+        total = F.aggregate(values, F.struct(F.lit(1.0).alias("w"), F.lit(0.0).alias("s")), weigh, lambda a: a.s)
+        first = F.struct(F.lit(1.0).alias("w"), F.lit(0.0).alias("s"), F.lit(None).cast("long").alias("x"))
+        return _let(total * g.u, lambda bound: F.aggregate(values, first, lambda a, x: pick(a, x, bound), lambda a: F.coalesce(a.x, g["mode"].cast("long"))))
+
+    start = g["mode"].cast("long")
+    down = F.when(low < start, F.sequence(start - 1, low, F.lit(-1).cast("long"))).otherwise(F.array().cast("array<bigint>"))
+    return _let(F.concat(F.sequence(start, top), down), from_values)
 
 
 def _node_step(level: int, seed: int):
     """One source of a node: its units for the left child, drawn from what the node still has to give."""
 
     def step(a: Column, x: Column) -> Column:
-        got = _draw(a.left, x.n, a.draws, hash_share(F.lit(seed), F.lit(level), F.col("node"), x.source, x["last"]))
-        return F.struct((a.left - x.n).alias("left"), (a.draws - got).alias("draws"), F.concat(a.taken, F.array(got)).alias("taken"))
+        drawn = _draw(a.left, x.n, a.draws, hash_share(F.lit(seed), F.lit(level), F.col("node"), x.source, x["last"]))
+        return _let(drawn, lambda got: F.struct((a.left - x.n).alias("left"), (a.draws - got).alias("draws"), F.concat(a.taken, F.array(got)).alias("taken")))
 
     return step
 
