@@ -247,7 +247,7 @@ def _(s, d):
 
     def clean(batch):
         return batch.select(
-            "event_id", col("event_type").isin("purchase", "signup").cast("int").alias("taken"), (col("user_id") % 3).alias("city"), F.to_date("ts").alias("snapshot_date")
+            "landed", "event_id", col("event_type").isin("purchase", "signup").cast("int").alias("taken"), (col("user_id") % 3).alias("city"), F.to_date("ts").alias("snapshot_date")
         )
 
     for _i in range(2):
@@ -267,9 +267,32 @@ def _(s, d):
 def _(s, d):
     root = shared_dir(s, "str02")
     a, b = captures(s, d)
-    for when, rows in (("2025-01-01", a), ("2025-02-01", b)):
-        # One landing per run, the way captures arrive.
-        rows.select("id", "status", F.lit(when).cast("date").alias("captured")).write.mode("append").parquet(f"{root}/landing")
+    _archive_of(s, root, [[("2025-01-01", a), ("2025-02-01", b)]])
+    return st.read_archive(s, root)
+
+
+def _archive_of(s, root, runs):
+    """Run the archive job once for each list of captures that landed together."""
+    for landed in runs:
+        for when, rows in landed:
+            rows.select("id", "status", F.lit(when).cast("date").alias("captured")).write.mode("append").parquet(f"{root}/landing")
         source = s.readStream.schema("id bigint, status string, captured date").parquet(f"{root}/landing")
         st.archive_changes(source, root, f"{root}/checkpoint", "id", ["status"]).awaitTermination()
-    return st.read_archive(s, root)
+
+
+@query(
+    "str02_archive_change_log",
+    """WITH a AS (SELECT o_orderkey AS id, o_orderstatus AS status FROM orders WHERE o_orderdate < TIMESTAMP '2001-01-01'),
+    b AS (SELECT o_orderkey AS id, CASE WHEN o_totalprice > 400000 THEN 'X' ELSE o_orderstatus END AS status FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01'),
+    c AS (SELECT o_orderkey AS id, 'Y' AS status FROM orders),
+    steps AS (SELECT id, DATE '2025-01-01' AS d, status FROM a UNION ALL SELECT id, DATE '2025-02-01', status FROM b UNION ALL SELECT id, DATE '2025-03-01', status FROM c)
+    SELECT id, captured, 'status' AS field, before, status AS after FROM
+    (SELECT id, d AS captured, status, lag(status) OVER (PARTITION BY id ORDER BY d) AS before FROM steps) WHERE before IS NOT NULL AND before <> status""",
+)
+def _(s, d):
+    """Two captures land together, a third later; the log holds every step."""
+    root = shared_dir(s, "str02-log")
+    a, b = captures(s, d)
+    c = v.table(s, d, "orders").select(col("o_orderkey").alias("id"), F.lit("Y").alias("status"))
+    _archive_of(s, root, [[("2025-01-01", a), ("2025-02-01", b)], [("2025-03-01", c)]])
+    return s.read.parquet(f"{root}/changes").select("id", "captured", "field", "before", "after")

@@ -2,12 +2,27 @@
 
 from __future__ import annotations
 
+import re
+import string
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Accented letters and the plain letters they become.
-ACCENTED = "áàâäãåéèêëíìîïóòôöõúùûüýÿñç"
-PLAIN = "aaaaaaeeeeiiiiooooouuuuyync"
+
+
+def _folded() -> tuple[str, str]:
+    """Every accented lower-case Latin letter and the plain letter its Unicode decomposition begins with."""
+    pairs = {}
+    for code in (*range(0x00C0, 0x0250), *range(0x1E00, 0x1F00)):
+        letter = chr(code)
+        base, *marks = unicodedata.normalize("NFD", letter)
+        if letter.islower() and marks and base in string.ascii_lowercase:
+            pairs[letter] = base
+    return "".join(pairs), "".join(pairs.values())
+
+
+ACCENTED, PLAIN = _folded()
 
 # What counts as an address, and what is put in its place.
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
@@ -27,7 +42,7 @@ def text_key(text: Column) -> Column:
 
 def clean_name(text: Column, prefix: str = "Entradas", longest: int = 70) -> Column:
     """Drop a ticket prefix, a closing bracket that holds a digit, and quotes; cut to ``longest``."""
-    t = F.regexp_replace(F.btrim(text, F.lit('"')), rf"(?i)\A\s*{prefix}\s+", "")
+    t = F.regexp_replace(F.btrim(text, F.lit('"')), rf"(?i)\A\s*{re.escape(prefix)}\s+", "")
     t = F.regexp_replace(t, r"\s*\([^)0-9]*[0-9][^)]*\)\s*\z", "")
     return F.left(F.btrim(F.replace(t, F.lit('"'), F.lit("")), F.lit(" -")), F.lit(longest))
 

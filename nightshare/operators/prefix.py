@@ -35,7 +35,8 @@ def slice_of(value: Column) -> Column:
     logarithm of a double is bounded.
     """
     v = value.cast("double")
-    return F.floor(F.signum(v) * F.log1p(F.abs(v) * FINEST) * SLICES_PER_E)
+    # NaN counts as the largest value, as it does in Spark's own order.
+    return F.when(F.isnan(v), F.lit(2**63 - 1)).otherwise(F.floor(F.signum(v) * F.log1p(F.abs(v) * FINEST) * SLICES_PER_E))
 
 
 def _by_slice(counts: DataFrame) -> DataFrame:
@@ -65,10 +66,10 @@ def _slice_totals(sliced: DataFrame) -> DataFrame:
 def _rank_inside(sliced: DataFrame, slices: DataFrame) -> DataFrame:
     """Rows of the given slices with the weight of all smaller values of their group.
 
-    The slice table is a fraction of the counts, so it is the side to hash; the counts
-    need no sort for the join.
+    With one group per listing the slice table is about as long as the counts, so the
+    kind of join is left to the engine.
     """
-    joined = sliced.join(slices.hint("shuffle_hash"), ["__key", "__slice"])
+    joined = sliced.join(slices, ["__key", "__slice"])
     return joined.selectExpr(
         "*",
         "__offset + coalesce(sum(__n) OVER (PARTITION BY __key, __slice ORDER BY __v "
@@ -135,7 +136,8 @@ def group_quantiles(
         if not interpolate:
             return f"__r{i}"
         pos = f"({p}D * (total - 1))"
-        return f"__r{2 * i} + (__r{2 * i + 1} - __r{2 * i}) * ({pos} - floor({pos}))"
+        lower, upper = f"__r{2 * i}", f"__r{2 * i + 1}"
+        return f"CASE WHEN {lower} = {upper} THEN {lower} ELSE {lower} + ({upper} - {lower}) * ({pos} - floor({pos})) END"
 
     return picked.selectExpr(
         *[f"__key.`{k}` AS `{k}`" for k in keys],

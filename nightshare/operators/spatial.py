@@ -26,14 +26,16 @@ def polygon_cells(polygons: DataFrame, size: float, ring: str = "ring") -> DataF
 def locate(points: DataFrame, polygons: DataFrame, size: float, code: str = "code", x: str = "x", y: str = "y", out: str = "district") -> DataFrame:
     """Points with the polygon that holds them, the lowest code if several do, null outside.
 
-    A point meets only the polygons of its own cell. The join is left open for the engine:
-    a small polygon side is broadcast by its measured size, a crowded cell is split.
+    Each row of points gives one row. The polygons of a cell are one array, so a point meets its
+    cell once and nothing is grouped after the join, which is left open for the engine: a
+    small polygon side is broadcast by its measured size, a crowded cell is split.
     """
     cells = polygon_cells(polygons.select(F.col(code).alias("__code"), "ring"), size)
+    cells = cells.groupBy("__cx", "__cy").agg(F.collect_list(F.struct("__code", "ring")).alias("__held"))
     placed = points.withColumn("__cx", _cell(F.col(x), size)).withColumn("__cy", _cell(F.col(y), size))
     met = placed.join(cells, ["__cx", "__cy"], "left")
-    hit = F.when(F.col("ring").isNotNull() & in_ring(F.col(x), F.col(y), F.col("ring")), F.col("__code"))
-    return met.groupBy(*points.columns).agg(F.min(hit).alias(out))
+    inside = F.filter("__held", lambda h: in_ring(F.col(x), F.col(y), h["ring"]))
+    return met.select(*points.columns, F.array_min(F.transform(inside, lambda h: h["__code"])).alias(out))
 
 
 def reference_points(polygons: DataFrame, landmarks: DataFrame, size: float, code: str = "code", name: str = "name") -> DataFrame:

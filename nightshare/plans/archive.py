@@ -46,6 +46,43 @@ def merge(archive: DataFrame | None, capture: DataFrame, key: str, day: Column)
     )
 
 
+def fold(archive: DataFrame | None, batch: DataFrame, key: str, watched: Sequence[str], day: str) -> tuple[DataFrame, DataFrame]:
+    """(archive after all captures of a batch, change log), whatever captures share the batch.
+
+    A key's row of each capture day follows its row of the day before, the archive's row standing at
+    its last day; each step between neighbours is compared. A capture day that the archive ends
+    with is not counted again. Of several rows of a key and day the one that sorts last counts.
+    """
+    from pyspark.sql import Window
+
+    fields = [c for c in batch.columns if c not in (key, day)]
+    rows = batch.groupBy(key, day).agg(F.max(F.struct(*fields)).alias("__row")).withColumn("__old", F.lit(False))
+    seen = {"first_seen": F.col(day), "last_seen": F.col(day), "captures": F.lit(1).cast("bigint")}
+    rows = rows.withColumns(seen)
+    if archive is not None:
+        rows = rows.unionByName(archive.select(key, F.col("last_seen").alias(day), F.struct(*fields).alias("__row"), F.lit(True).alias("__old"), "first_seen", "last_seen", "captures"))
+    order = Window.partitionBy(key).orderBy(day, F.desc("__old"))
+    rows = rows.withColumn("__before", F.lag("__row").over(order)).withColumn("__again", F.coalesce(F.lag("__old").over(order) & (F.lag(day).over(order) == F.col(day)), F.lit(False)))
+    differ = F.array(
+        *[
+            F.when(
+                ~F.col(f"__before.{w}").eqNullSafe(F.col(f"__row.{w}")),
+                F.struct(F.lit(w).alias("field"), F.col(f"__before.{w}").cast("string").alias("before"), F.col(f"__row.{w}").cast("string").alias("after")),
+            )
+            for w in watched
+        ]
+    )
+    log = rows.where(~F.col("__old") & F.col("__before").isNotNull()).select(key, F.col(day).alias("captured"), F.explode(F.filter(differ, lambda x: x.isNotNull())).alias("c"))
+    last = F.max_by("__row", F.struct(F.col(day), ~F.col("__old")))
+    after = rows.groupBy(key).agg(
+        last.alias("__row"),
+        F.min("first_seen").alias("first_seen"),
+        F.max("last_seen").alias("last_seen"),
+        F.sum(F.when(F.col("__again"), 0).otherwise(F.col("captures"))).alias("captures"),
+    )
+    return after.select(key, "__row.*", "first_seen", "last_seen", "captures"), log.select(key, "captured", "c.field", "c.before", "c.after")
+
+
 def disappeared(archive: DataFrame, last_capture: Column, start: str) -> DataFrame:
     """Entries still to come that the last capture no longer showed."""
     return archive.where((F.col("last_seen") < last_capture) & (F.col(start) > last_capture))

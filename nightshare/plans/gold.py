@@ -90,11 +90,13 @@ def fact_calendar(
     The lead counts from the listing's capture date or, where that is missing, from the
     first night its calendar shows. First nights are a small aggregate per listing and
     capture; they join together with the capture dates, so the calendar is joined once.
+    No night is lost or doubled: null keys match null keys, and of several capture rows of
+    one key the earliest date counts.
     """
     keys = list(keys)
     first = calendar.groupBy(*keys).agg(F.min(night).alias("__first"))
-    starts = first.join(captures.select(*keys, capture), keys, "left")
-    joined = calendar.join(starts, keys)
+    starts = attach(first, captures.groupBy(*keys).agg(F.min(capture).alias(capture)), keys)
+    joined = attach(calendar, starts, keys)
     return joined.select(
         *calendar.columns,
         F.datediff(night, F.coalesce(capture, "__first")).alias("lead_days"),

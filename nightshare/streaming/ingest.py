@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,39 +17,40 @@ def ingest_snapshots(
     source: DataFrame, clean: Callable[[DataFrame], DataFrame], target: str, checkpoint: str,
     keys: Sequence[str] = ("city", "snapshot_date"),
 ) -> StreamingQuery:
-    """Clean each newly landed capture and replace its own partition.
+    """Clean each newly landed capture and write it below its partition.
 
-    ``source`` is a streaming read of landed files. All files of a capture must land before the
-    run, since a batch replaces the partitions it holds rows of; a batch that is run again
-    after a failure overwrites the same partitions.
+    ``source`` is a streaming read of landed files. Below a capture's partition each landed file has
+    one of its own (``landed``, which ``clean`` has to keep), so a late file adds to its capture, and
+    a batch that is run again replaces what it wrote.
     """
 
     def load(batch: DataFrame, epoch: int) -> None:
-        write_partition(clean(batch), target, keys)
+        write_partition(clean(batch), target, [*keys, "landed"])
 
-    return source.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return source.withColumn("landed", F.md5("_metadata.file_path")).writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def _finished_version(spark: SparkSession, root: str, below: int | None = None) -> int:
-    """The highest archive version with a finished write (below a limit), -1 if there is none. Lists folder names only."""
+def _finished_versions(spark: SparkSession, root: str) -> dict[tuple[str, int], int]:
+    """(run, batch) -> archive version with a finished write. Lists folder names only."""
     jvm = spark._jvm
     base = jvm.org.apache.hadoop.fs.Path(root)
     fs = base.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(base):
-        return -1
-    found = -1
-    for st in fs.listStatus(base):
-        name = st.getPath().getName()
-        if name.startswith("v") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            n = int(name[1:])
-            if below is None or n < below:
-                found = max(found, n)
+    found = {}
+    for st in fs.listStatus(base) if fs.exists(base) else []:
+        parts = st.getPath().getName().split("_")
+        if len(parts) == 3 and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            found[parts[1], int(parts[2])] = int(parts[0].removeprefix("v"))
     return found
 
 
+def _version_path(root: str, found: dict[tuple[str, int], int], version: int) -> str:
+    run, epoch = next(k for k, v in found.items() if v == version)
+    return f"{root}/archive/v{version}_{run}_{epoch}"
+
+
 def read_archive(spark: SparkSession, root: str) -> DataFrame | None:
-    n = _finished_version(spark, f"{root}/archive")
-    return None if n < 0 else spark.read.parquet(f"{root}/archive/v{n}")
+    found = _finished_versions(spark, f"{root}/archive")
+    return spark.read.parquet(_version_path(root, found, max(found.values()))) if found else None
 
 
 def archive_changes(
@@ -56,31 +58,24 @@ def archive_changes(
 ) -> StreamingQuery:
     """Keep a keyed archive and a change log up to date from captures that land as files.
 
-    A micro-batch writes the archive version of its own number from the newest version below
-    it, so a batch that is run again reads the same state and gives the same result. The log
-    is partitioned by batch and replaced by batch for the same reason. A capture may be
-    spread over batches as long as each key is in one of them.
+    All captures of a micro-batch count one by one, so the outcome does not depend on when the job
+    runs. A batch writes the version after the highest finished one, under the id of its
+    streaming query and its number; a batch that is run again finds its own version finished, or
+    starts from the same state. A new checkpoint on an old root goes on from the old archive.
+    The log is partitioned by run and batch and replaced by them for the same reason.
     """
 
     def load(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        # A key can come twice in a batch; the row that sorts last wins. The batch is read once for the three uses below.
-        rest = [c for c in batch.columns if c not in (key, day)]
-        capture = batch.groupBy(key).agg(F.max(F.struct(day, *rest)).alias("r")).select(key, "r.*").persist()
-        try:
-            if capture.isEmpty():
-                return
-            last = _finished_version(spark, f"{root}/archive", below=epoch)
-            before = None if last < 0 else spark.read.parquet(f"{root}/archive/v{last}")
-            when = capture.agg(F.max(day)).scalar()
-            rows = capture.drop(day)
-            if before is not None:
-                log = ar.changes(before, rows, key, watched, when).withColumn("epoch", F.lit(epoch))
-                write_partition(log, f"{root}/changes", ["epoch"])
-            after = ar.merge(before, rows, key, when)
-            after.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{root}/archive/v{epoch}")
-        finally:
-            capture.unpersist()
+        run = (spark.sparkContext.getLocalProperty("sql.streaming.queryId") or hashlib.md5(checkpoint.encode()).hexdigest()).replace("-", "")
+        found = _finished_versions(spark, f"{root}/archive")
+        if (run, epoch) in found or batch.isEmpty():
+            return
+        last = max(found.values(), default=-1)
+        before = spark.read.parquet(_version_path(root, found, last)) if found else None
+        after, log = ar.fold(before, batch, key, watched, day)
+        write_partition(log.withColumns({"run": F.lit(run), "epoch": F.lit(epoch)}), f"{root}/changes", ["run", "epoch"])
+        after.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{root}/archive/v{last + 1}_{run}_{epoch}")
 
     return source.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

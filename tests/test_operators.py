@@ -193,3 +193,44 @@ def test_bootstrap_agrees_with_theory(spark):
     assert a["mean_low"] < np.mean(xs) < a["mean_high"] and a["median_low"] <= np.median(xs) <= a["median_high"]
     b = au.bootstrap_ci(df.repartition(7), "zone", "id", "m", "p", replicates=200).first()
     assert tuple(a)[1:] == pytest.approx(tuple(b)[1:])
+
+
+def test_locate_keeps_equal_points(spark):
+    from nightshare.operators.spatial import locate
+
+    points = spark.createDataFrame([(1, 0.5, 0.5), (1, 0.5, 0.5), (2, 9.0, 9.0), (3, None, 1.0)], "id int, x double, y double")
+    square = [(0.0, 0.0), (2.0, 0.0), (2.0, 2.0), (0.0, 2.0)]
+    shapes = spark.createDataFrame([("b", square), ("a", square)], "code string, ring array<struct<x:double,y:double>>")
+    got = sorted((r["id"], r["district"] or "") for r in locate(points, shapes, 1.0).collect())
+    assert got == [(1, "a"), (1, "a"), (2, ""), (3, "")]
+
+
+def test_fact_calendar_keeps_every_night(spark):
+    import datetime as dt
+
+    from nightshare.plans.gold import fact_calendar
+
+    day = dt.date(2025, 1, 1)
+    nights = spark.createDataFrame([("A", day, 1, day), ("A", day, None, day), (None, day, 2, day)], "city string, snapshot_date date, listing_id int, night date")
+    captures = spark.createDataFrame([("A", day, 1, day), ("A", day, 1, dt.date(2024, 12, 31)), (None, day, 2, None)], "city string, snapshot_date date, listing_id int, capture_date date")
+    got = sorted((r["city"] or "", r["listing_id"] or 0, r["lead_days"], r["capture_missing"]) for r in fact_calendar(nights, captures).collect())
+    assert got == [("", 2, 0, True), ("A", 0, 0, True), ("A", 1, 1, False)]
+
+
+def test_quantiles_with_nan_and_infinity(spark):
+    from pyspark.sql import functions as F
+
+    from nightshare.operators.prefix import group_quantiles
+
+    rows = [("n", x) for x in (1.0, 2.0, 3.0, float("nan"), float("nan"))] + [("i", x) for x in (1.0, float("inf"), float("-inf"))]
+    frame = spark.createDataFrame(rows, "k string, x double")
+    want = {r["k"]: (r["m"], r["t"]) for r in frame.groupBy("k").agg(F.median("x").alias("m"), F.percentile("x", 1.0).alias("t")).collect()}
+    got = {r["k"]: (r["m"], r["t"]) for r in group_quantiles(frame, ["k"], "x", {"m": 0.5, "t": 1.0}).collect()}
+    assert repr(got["n"]) == repr(want["n"]) and got["i"] == (1.0, float("inf"))
+
+
+def test_accents_beyond_western_letters(spark):
+    from nightshare.functions.text import text_key
+
+    rows = spark.createDataFrame([("Šibenik",), ("Ōsaka",), ("Łódź Öl",)], "t string")
+    assert [r[0] for r in rows.select(text_key(rows.t)).collect()] == ["sibenik", "osaka", "odzol"]

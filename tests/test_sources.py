@@ -191,6 +191,38 @@ def test_stream_archive_over_split_captures(spark, tmp_path):
     assert log == [(1, "name", "a", "a2")]
 
 
+@pytest.mark.parametrize("runs", [[[0], [1], [2]], [[0, 1, 2]], [[0, 1], [2]]])
+def test_archive_does_not_depend_on_batches(spark, tmp_path, runs):
+    landing, root, schema = str(tmp_path / "landing"), str(tmp_path / "root"), "id int, name string, captured date"
+    photos = [[(1, "a", "2025-01-01"), (2, "b", "2025-01-01")], [(1, "a2", "2025-02-01")], [(1, "a3", "2025-03-01"), (3, "c", "2025-03-01")]]
+    for n, run in enumerate(runs):
+        for i in run:
+            spark.createDataFrame([(k, x, dt.date.fromisoformat(d)) for k, x, d in photos[i]], schema).coalesce(1).write.mode("append").parquet(landing)
+        st.archive_changes(spark.readStream.schema(schema).parquet(landing), root, str(tmp_path / "cp"), "id", ["name"]).awaitTermination()
+    got = {r["id"]: (r["name"], str(r["first_seen"]), str(r["last_seen"]), r["captures"]) for r in st.read_archive(spark, root).collect()}
+    assert got == {1: ("a3", "2025-01-01", "2025-03-01", 3), 2: ("b", "2025-01-01", "2025-01-01", 1), 3: ("c", "2025-03-01", "2025-03-01", 1)}
+    log = sorted((str(r["captured"]), r["id"], r["before"], r["after"]) for r in spark.read.parquet(f"{root}/changes").collect())
+    assert log == [("2025-02-01", 1, "a", "a2"), ("2025-03-01", 1, "a2", "a3")]
+
+
+def test_archive_with_a_fresh_checkpoint_goes_on(spark, tmp_path):
+    root, schema = str(tmp_path / "root"), "id int, name string, captured date"
+    for n, row in enumerate([(1, "a", "2025-01-01"), (2, "b", "2025-02-01")]):
+        landing = str(tmp_path / f"landing{n}")
+        spark.createDataFrame([(row[0], row[1], dt.date.fromisoformat(row[2]))], schema).write.parquet(landing)
+        st.archive_changes(spark.readStream.schema(schema).parquet(landing), root, str(tmp_path / f"cp{n}"), "id", ["name"]).awaitTermination()
+    assert sorted(r["id"] for r in st.read_archive(spark, root).collect()) == [1, 2]
+
+
+def test_late_file_adds_to_its_capture(spark, tmp_path):
+    landing, target, schema = str(tmp_path / "landing"), str(tmp_path / "t"), "city string, snapshot_date string, n int"
+    for n in (1, 2):
+        spark.createDataFrame([("A", "2025-01-01", n)], schema).coalesce(1).write.mode("append").parquet(landing)
+        for _ in range(2):
+            st.ingest_snapshots(spark.readStream.schema(schema).parquet(landing), lambda b: b, target, str(tmp_path / "cp")).awaitTermination()
+    assert sorted(r["n"] for r in spark.read.parquet(target).collect()) == [1, 2]
+
+
 def test_log_run(spark, tmp_path):
     path = str(tmp_path / "log")
     for n in (1, 2):
