@@ -191,10 +191,9 @@ def passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
     Other columns are ignored. An empty table gives an empty result.
     """
     seeds = saved(_seed_rows(docs, id_col, text_col, k, window), "seeds")
-    first = seeds.groupBy("seed").agg(F.min("doc_id").alias("ref_id"), F.min_by("pos", F.struct("doc_id", "pos")).alias("ref_pos"), F.max(F.struct("doc_id", "pos")).alias("last"))
-    first = first.where((F.col("last.doc_id") != F.col("ref_id")) | (F.col("last.pos") != F.col("ref_pos")))
+    first = seeds.groupBy("seed").agg(F.min(F.struct("doc_id", "pos")).alias("at"), F.count(F.lit(1)).alias("places")).where("places > 1")
     # Written, so that the join has plain shuffles on both sides and a frequent seed's rows are split.
-    first = saved(first.select(F.col("seed").alias("s"), "ref_id", "ref_pos"), "first")
+    first = saved(first.select(F.col("seed").alias("s"), F.col("at.doc_id").alias("ref_id"), F.col("at.pos").alias("ref_pos")), "first")
     matches = seeds.join(first, F.col("seed") == F.col("s")).where("doc_id != ref_id or pos != ref_pos").select("doc_id", "ref_id", "pos", "ref_pos")
     # min_words equal words hold that many disjoint windows, each with a seed.
     least = max(1, (min_words - k + 1) // window)
@@ -214,7 +213,8 @@ def passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(lo, pa.int64()), pa.array(hi, pa.int64()), pa.array(cuts, pa.binary())], names=["id", "lo", "hi", "words"])
 
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    slices = texts.join(asked, F.col("doc_id") == F.col("id")).select("id", "spans", "text").mapInArrow(cut, "id bigint, lo bigint, hi bigint, words binary")
+    # Texts and spans both grow with the corpus: a sort-merge join at every size, which can spill.
+    slices = texts.join(asked.hint("merge"), F.col("doc_id") == F.col("id")).select("id", "spans", "text").mapInArrow(cut, "id bigint, lo bigint, hi bigint, words binary")
     slices = saved(slices.groupBy("id", "lo", "hi").agg(F.first("words").alias("words")), "slices")
     left = slices.select(F.col("id").alias("doc_id"), (F.col("lo") + pad).alias("x0"), (F.col("hi") - pad).alias("x1"), F.col("words").alias("a"))
     right = slices.select(F.col("id").alias("ref_id"), (F.col("lo") + pad).alias("y0"), (F.col("hi") - pad).alias("y1"), F.col("words").alias("b"))
@@ -260,7 +260,7 @@ def without_passages(docs: DataFrame, found: DataFrame, id_col: str = "doc_id",
             cols[at] = pa.array(texts, batch.column(at).type)
             yield pa.RecordBatch.from_arrays(cols, names=batch.schema.names[: len(names)])
 
-    joined = docs.join(spans, F.col(id_col).cast("long") == F.col("_d"), "left").drop("_d")
+    joined = docs.join(spans.hint("merge"), F.col(id_col).cast("long") == F.col("_d"), "left").drop("_d")
     return joined.mapInArrow(run, StructType(docs.schema.fields))
 
 
