@@ -12,13 +12,18 @@ from pyspark.sql import functions as F
 
 from nightshare.llm.common import saved
 
-BUCKETS, SHAPES, SAMPLE = 1 << 16, 12, 12_000
+BUCKETS, SHAPES, SAMPLE = 1 << 18, 12, 12_000
+STEMS = (4, 6)
+_BREAKS = bytes.maketrans(b".,;:!?\"'()#$%&*", b" " * 15)
 _UPPER, _LOWER, _DIGIT = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz", b"0123456789"
 _PLAIN, _SIGNS = b",.;:'\"-()", b"#$%&*@|<>{}[]^~=+_/\\"
 
 
 def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Shape figures of a whole text, and the hashed words that occur in it."""
+    """Shape figures of a whole text, and the hashed words and word beginnings that occur in it.
+
+    Beginnings (of ``STEMS`` bytes) tell inflected forms of a word that the sample does not hold.
+    """
     raw = (text or "").encode("utf-8", "surrogatepass")
     parts = raw.split()
     n, w = max(1, len(raw)), max(1, len(parts))
@@ -26,7 +31,10 @@ def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     lines = [x for x in raw.split(b"\n") if x.strip()]
     words = set(parts)
     shape = np.array([*share, np.log1p(len(parts)), n / w / 10, len(words) / w, len(set(lines)) / max(1, len(lines)), np.log1p(len(lines)), raw.count(b" | ") / w])
-    kept = {zlib.crc32(x.strip(b".,;:!?\"'()#$%&*").lower()) & (BUCKETS - 1) for x in words}
+    plain = set(raw.lower().translate(_BREAKS).split())
+    kept = {zlib.crc32(x) & (BUCKETS - 1) for x in plain}
+    for size in STEMS:
+        kept.update(zlib.crc32(x, size) & (BUCKETS - 1) for x in {x[:size] for x in plain if len(x) > size})
     return shape, np.fromiter(kept, np.int32, len(kept))
 
 
@@ -50,21 +58,31 @@ class Model:
         mean, scale = shapes.mean(0), shapes.std(0) + 1e-6
         x = np.clip((shapes - mean) / scale, -8, 8)
         sizes = np.array([len(w) for w in words])
-        row, col = np.repeat(np.arange(len(words)), sizes), np.concatenate(words)
+        row, col = np.repeat(np.arange(len(words), dtype=np.int32), sizes), np.concatenate(words)
         seen = np.bincount(col, minlength=BUCKETS)
         use = (seen[col] >= 3) & (seen[col] <= 0.2 * len(words) + 3)  # words of nearly all or of single texts tell nothing
         row, col = row[use], col[use]
-        a, b, c = np.zeros(SHAPES), np.zeros(BUCKETS), 0.0
-        ga, gb, gc = np.full(SHAPES, 1e-6), np.full(BUCKETS, 1e-6), 1e-6
+        # The entries by row and by word, so that sums are sums of runs.
+        held, at_row = np.unique(row, return_index=True)
+        kinds, col = np.unique(col, return_inverse=True)
+        row_of, order = row[np.argsort(col, kind="stable")], np.sort(col)
+        at_col = np.flatnonzero(np.r_[True, order[1:] != order[:-1]]) if len(order) else order
         n = len(good)
+        a, b, c = np.zeros(SHAPES), np.zeros(len(kinds)), 0.0
+        ga, gb, gc = np.full(SHAPES, 1e-6), np.full(len(kinds), 1e-6), 1e-6
         for _ in range(rounds):  # full gradients, steps scaled by their own history
-            z = x @ a + np.bincount(row, b[col], n) + c
+            z = x @ a + c
+            if len(col):
+                z[held] += np.add.reduceat(b[col], at_row)
             e = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - good
-            da, db, dc = x.T @ e / n + ridge * a, np.bincount(col, e[row], BUCKETS) / n + ridge * b, e.mean()
+            da, dc = x.T @ e / n + ridge * a, e.mean()
+            db = (np.add.reduceat(e[row_of], at_col) / n if len(col) else b) + ridge * b
             ga, gb, gc = ga + da**2, gb + db**2, gc + dc**2
             a, b, c = a - rate * da / np.sqrt(ga), b - rate * db / np.sqrt(gb), c - rate * dc / np.sqrt(gc)
+        word = np.zeros(BUCKETS, np.float32)
+        word[kinds] = b
         prior = float(np.clip(good.mean(), 1e-3, 1 - 1e-3))
-        return cls(mean, scale, a, b.astype(np.float32), c, prior)
+        return cls(mean, scale, a, word, c, prior)
 
     def logit(self, text: str | None) -> float:
         shape, words = features(text)
