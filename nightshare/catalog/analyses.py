@@ -57,23 +57,24 @@ def _(s, d):
 @query(
     "an03_supply_per_1000",
     """SELECT zone, residents, coalesce(homes, 0) AS homes, round(coalesce(homes, 0) * 1000.0 / residents, 6) AS per_1000 FROM
-    (SELECT zone, count(*) AS residents FROM customers GROUP BY zone) LEFT JOIN (SELECT zone, count(DISTINCT listing_id) AS homes FROM listing_snap WHERE NOT long_stay AND price > 4000 GROUP BY zone) USING (zone)""",
+    (SELECT zone, count(*) AS residents FROM customers GROUP BY zone) LEFT JOIN (SELECT zone, count(DISTINCT listing_id) AS homes FROM listing_snap WHERE NOT long_stay GROUP BY zone) USING (zone)""",
 )
 def _(s, d):
     population = v.customers(s, d).groupBy("zone").agg(F.count("*").alias("residents"))
-    homes = v.listing_snap(s, d).where("NOT long_stay AND price > 4000").select("zone", "listing_id").distinct()
+    homes = v.listing_snap(s, d).where("NOT long_stay").select("zone", "listing_id").distinct()
     return r6(inc.supply_per_1000(homes, population), "per_1000")
 
 
 @query(
     "an04_population_by_district",
-    """SELECT city AS district, CAST(sum(n) AS DOUBLE) AS residents FROM monthly WHERE month IN (1, 2, 3) GROUP BY city""",
+    """SELECT city AS district, CAST(sum(n) AS DOUBLE) AS residents FROM monthly GROUP BY city""",
 )
 def _(s, d):
-    m = v.monthly(s, d).groupBy("city", "year").pivot("month", [1, 2, 3]).agg(F.sum("n").cast("string"))
-    wide = m.select(col("city").alias("district"), col("year").cast("string").alias("section"), "1", "2", "3")
-    total = wide.groupBy("district").agg(F.lit("total").alias("section"), *[F.sum(col(c).cast("double")).cast("string").alias(c) for c in "123"])
-    out = inc.population_by_district(wide.unionByName(total), "district", ["1", "2", "3"], col("section") == "total")
+    months = [str(m) for m in range(1, 13)]
+    m = v.monthly(s, d).groupBy("city", "year").pivot("month", list(range(1, 13))).agg(F.sum("n").cast("string"))
+    wide = m.select(col("city").alias("district"), col("year").cast("string").alias("section"), *months)
+    total = wide.groupBy("district").agg(F.lit("total").alias("section"), *[F.sum(col(c).cast("double")).cast("string").alias(c) for c in months])
+    out = inc.population_by_district(wide.unionByName(total), "district", months, col("section") == "total")
     return r6(out, "residents")
 
 
@@ -202,23 +203,29 @@ def _(s, d):
 
 
 # ---------------------------------------------------------------- occupancy series
+#: Listings with a free night; the others are blocked, not let.
+ALIVE_SQL = "(SELECT * FROM nights QUALIFY min(taken) OVER (PARTITION BY listing_id) = 0)"
+
+
 @query(
     "an14_monthly_occupancy",
-    """SELECT city, month, round(occ, 6) AS occ, nights, greatest(round_even(occ * 100, 0) - CASE WHEN city = 2 AND month LIKE '%-01' THEN 4 ELSE 0 END, 0) AS pct FROM
-    (SELECT city, strftime(night, '%Y-%m') AS month, avg(occ) AS occ, count(*) AS nights FROM zone_nights GROUP BY ALL HAVING count(*) >= 20)""",
+    f"""SELECT city, month, round(occ, 6) AS occ, nights, greatest(round_even(occ * 100, 0) - CASE WHEN city = 2 AND month LIKE '%-01' THEN 4 ELSE 0 END, 0) AS pct FROM
+    (SELECT city, strftime(night, '%Y-%m') AS month, avg(occ) AS occ, count(*) AS nights FROM
+    (SELECT city, night, avg(taken) AS occ FROM {ALIVE_SQL} WHERE lead BETWEEN 0 AND 29 GROUP BY city, night, lead QUALIFY row_number() OVER (PARTITION BY city, night ORDER BY lead) = 1)
+    GROUP BY ALL HAVING count(*) >= 20)""",
 )
 def _(s, d):
-    return r6(occ.monthly_occupancy(v.nights(s, d), adjust={(2, 1): 4.0}, drop_blocked=None), "occ")
+    return r6(occ.monthly_occupancy(v.nights(s, d), adjust={(2, 1): 4.0}, drop_blocked=["listing_id"]), "occ")
 
 
 @query(
     "an15_daily_occupancy",
-    """WITH seen AS (SELECT city, night, lead, avg(taken) AS occ FROM nights WHERE lead <= 45 GROUP BY ALL), curve AS (SELECT city, lead, avg(occ) AS c FROM seen GROUP BY ALL)
-    SELECT city, night, n.lead, CAST(round_even(100 * least(greatest(occ - (c - ref), 0), 1), 0) AS INT) AS pct FROM (SELECT * FROM seen QUALIFY row_number() OVER (PARTITION BY city, night ORDER BY lead) = 1) n
+    f"""WITH seen AS (SELECT city, night, lead, avg(taken) AS occ FROM {ALIVE_SQL} WHERE lead <= 45 GROUP BY ALL), curve AS (SELECT city, lead, avg(occ) AS c FROM seen GROUP BY ALL)
+    SELECT city, night, n.lead, greatest(round_even(100 * least(greatest(occ - (c - ref), 0), 1), 0) - CASE WHEN city = 2 AND month(night) = 1 THEN 4 ELSE 0 END, 0) AS pct FROM (SELECT * FROM seen QUALIFY row_number() OVER (PARTITION BY city, night ORDER BY lead) = 1) n
     JOIN curve USING (city, lead) JOIN (SELECT city, c AS ref FROM curve WHERE lead = 15) USING (city)""",
 )
 def _(s, d):
-    return occ.daily_occupancy(v.nights(s, d))
+    return occ.daily_occupancy(v.nights(s, d), adjust={(2, 1): 4.0}, drop_blocked=["listing_id"])
 
 
 @query("an16_zone_nights", "SELECT * FROM zone_nights")
@@ -229,10 +236,10 @@ def _(s, d):
 @query(
     "an34_polarisation",
     """SELECT city, count(*) AS listings, avg(CASE WHEN lo = hi THEN 1.0 ELSE 0.0 END) AS polarised FROM
-    (SELECT city, listing_id, min(taken) AS lo, max(taken) AS hi FROM nights WHERE lead <= 5 GROUP BY ALL) GROUP BY city""",
+    (SELECT city, listing_id, min(taken) AS lo, max(taken) AS hi FROM nights GROUP BY ALL) GROUP BY city""",
 )
 def _(s, d):
-    return occ.polarisation(v.nights(s, d).where("lead <= 5"), ["city"])
+    return occ.polarisation(v.nights(s, d), ["city"])
 
 
 @query(
@@ -532,10 +539,10 @@ def _(s, d):
 @query(
     "an37_listing_turnover",
     """SELECT grp, count(*) AS listings, count(*) FILTER (n = 1) AS seen_once, round(avg(n), 6) AS mean_captures FROM
-    (SELECT grp, listing_id, count(DISTINCT snapshot) AS n FROM listing_snap WHERE price > 4200 GROUP BY ALL) GROUP BY grp""",
+    (SELECT grp, listing_id, count(DISTINCT snapshot) AS n FROM listing_snap GROUP BY ALL) GROUP BY grp""",
 )
 def _(s, d):
-    out = ar.listing_turnover(v.listing_snap(s, d).where("price > 4200"), "listing_id", "snapshot", ["grp"])
+    out = ar.listing_turnover(v.listing_snap(s, d), "listing_id", "snapshot", ["grp"])
     return r6(out, "mean_captures")
 
 

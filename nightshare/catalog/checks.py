@@ -152,13 +152,13 @@ def _(s, d):
 @query(
     "qa15_orphans",
     """SELECT 'left' AS side, count(DISTINCT id) AS ids, min(day) AS first_day, max(day) AS last_day FROM
-      (SELECT o_custkey AS id, CAST(o_orderdate AS DATE) AS day FROM orders WHERE o_orderpriority = '1-URGENT') WHERE id NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '5-LOW')
+      (SELECT o_custkey AS id, CAST(o_orderdate AS DATE) AS day FROM orders WHERE o_orderpriority = '1-URGENT') WHERE id NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority <> '1-URGENT')
     UNION ALL SELECT 'right', count(DISTINCT id), min(day), max(day) FROM
-      (SELECT o_custkey AS id, CAST(o_orderdate AS DATE) AS day FROM orders WHERE o_orderpriority = '5-LOW') WHERE id NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')""",
+      (SELECT o_custkey AS id, CAST(o_orderdate AS DATE) AS day FROM orders WHERE o_orderpriority <> '1-URGENT') WHERE id NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')""",
 )
 def _(s, d):
     o = v.table(s, d, "orders").select(col("o_custkey").alias("id"), F.to_date("o_orderdate").alias("day"), "o_orderpriority")
-    return qa.orphans(o.where("o_orderpriority = '1-URGENT'"), o.where("o_orderpriority = '5-LOW'"), "id", "day")
+    return qa.orphans(o.where("o_orderpriority = '1-URGENT'"), o.where("o_orderpriority <> '1-URGENT'"), "id", "day")
 
 
 @query(

@@ -15,6 +15,10 @@ from nightshare.plans.audit import correlation
 from nightshare.registry import query
 
 col = F.col
+MONTHS = range(1, 13)
+PRIORITIES = {"urgent": "1-URGENT", "high": "2-HIGH", "medium": "3-MEDIUM", "not_specified": "4-NOT SPECIFIED", "low": "5-LOW"}
+
+
 def N():
     return F.count(F.lit(1))
 
@@ -57,14 +61,14 @@ def _(s, d):
 
 # ---------------------------------------------------------------- joins
 SNAP_COUNTS = """WITH l AS (SELECT city, snapshot_date, count(*) AS listings FROM fact_listing GROUP BY ALL),
-k AS (SELECT city, snapshot_date, count(*) AS rows FROM fact_calendar WHERE lead > 60 GROUP BY ALL)"""
+k AS (SELECT city, snapshot_date, count(*) AS rows FROM fact_calendar GROUP BY ALL)"""
 
 
 @query("jn01_inner_two_keys", SNAP_COUNTS + " SELECT * FROM l JOIN k USING (city, snapshot_date)")
 def _(s, d):
     keys = ["city", "snapshot_date"]
     a = v.fact_listing(s, d).groupBy(*keys).agg(N().alias("listings"))
-    b = v.fact_calendar(s, d).where("lead > 60").groupBy(*keys).agg(N().alias("rows"))
+    b = v.fact_calendar(s, d).groupBy(*keys).agg(N().alias("rows"))
     return a.join(b, keys)
 
 
@@ -148,13 +152,12 @@ def _(s, d):
 @query(
     "jn15_scenarios",
     """SELECT l.id, scenario, round(unit_price * stay_nights * (1 - fee), 8) AS net FROM lines l,
-    (SELECT * FROM (VALUES ('own', 0.15), ('manager', 0.35)) t(scenario, fee)) WHERE stay_nights >= 49""",
+    (SELECT * FROM (VALUES ('own', 0.15), ('manager', 0.35)) t(scenario, fee))""",
 )
 def _(s, d):
     from nightshare.plans.income import with_scenarios
 
-    ln = v.lines(s, d).where("stay_nights >= 49")
-    out = with_scenarios(ln, {"own": {"fee": 0.15}, "manager": {"fee": 0.35}})
+    out = with_scenarios(v.lines(s, d), {"own": {"fee": 0.15}, "manager": {"fee": 0.35}})
     return out.select("id", "scenario", F.round(col("unit_price") * col("stay_nights") * (1 - col("fee")), 8).alias("net"))
 
 
@@ -290,22 +293,20 @@ def _(s, d):
 
 @query(
     "agg12_pivot",
-    """SELECT city, year, round(avg(adr) FILTER (month = 1), 6) AS jan, round(avg(adr) FILTER (month = 7), 6) AS jul FROM monthly GROUP BY city, year""",
+    "SELECT city, year, " + ", ".join(f"round(avg(adr) FILTER (month = {m}), 6) AS m{m:02}" for m in MONTHS) + " FROM monthly GROUP BY city, year",
 )
 def _(s, d):
-    p = v.monthly(s, d).groupBy("city", "year").pivot("month", [1, 7]).agg(F.avg("adr"))
-    return p.select("city", "year", F.round("1", 6).alias("jan"), F.round("7", 6).alias("jul"))
+    p = v.monthly(s, d).groupBy("city", "year").pivot("month", list(MONTHS)).agg(F.avg("adr"))
+    return p.select("city", "year", *[F.round(str(m), 6).alias(f"m{m:02}") for m in MONTHS])
 
 
 @query(
     "agg13_cross_tab",
-    """SELECT o_orderstatus AS status, count(*) FILTER (o_orderpriority = '1-URGENT') AS urgent, count(*) FILTER (o_orderpriority = '5-LOW') AS low,
-    count(*) AS total FROM orders GROUP BY 1""",
+    "SELECT o_orderstatus AS status, " + ", ".join(f"count(*) FILTER (o_orderpriority = '{p}') AS {n}" for n, p in PRIORITIES.items()) + ", count(*) AS total FROM orders GROUP BY 1",
 )
 def _(s, d):
     g = v.table(s, d, "orders").groupBy(col("o_orderstatus").alias("status"))
-    p = col("o_orderpriority")
-    return g.agg(F.count_if(p == "1-URGENT").alias("urgent"), F.count_if(p == "5-LOW").alias("low"), N().alias("total"))
+    return g.agg(*[F.count_if(col("o_orderpriority") == p).alias(n) for n, p in PRIORITIES.items()], N().alias("total"))
 
 
 @query(
@@ -534,12 +535,12 @@ def _(s, d):
 # ---------------------------------------------------------------- sets
 @query(
     "set01_union",
-    """SELECT listing_id, night, lead, NULL AS price FROM nights WHERE lead < 15 UNION ALL SELECT listing_id, night, lead, price FROM nights WHERE lead >= 85""",
+    """SELECT listing_id, night, lead, NULL AS price FROM nights WHERE lead < 15 UNION ALL SELECT listing_id, night, lead, price FROM nights WHERE lead >= 15""",
 )
 def _(s, d):
     n = v.nights(s, d)
     a = n.where("lead < 15").select("listing_id", "night", "lead")
-    b = n.where("lead >= 85").select("listing_id", "night", "lead", "price")
+    b = n.where("lead >= 15").select("listing_id", "night", "lead", "price")
     return a.unionByName(b, allowMissingColumns=True)
 
 

@@ -78,14 +78,17 @@ def monthly_occupancy(
 
 
 def daily_occupancy(
-    calendar: DataFrame, zone: str = "city", max_lead: int = FAR_LEAD, reference: int = REFERENCE_LEAD, snapshot: str = "snapshot"
+    calendar: DataFrame, zone: str = "city", max_lead: int = FAR_LEAD, reference: int = REFERENCE_LEAD,
+    adjust: Mapping[tuple[str, int], float] | None = None, drop_blocked: Sequence[str] | None = None,
 ) -> DataFrame:
     """Daily share moved to a common lead: the mean curve by (zone, lead) is taken off and its reference value put back.
 
+    Always blocked listings (by the columns of ``drop_blocked``) leave before the curve; the points of (zone, month) in ``adjust`` are taken off after it.
     Curves weigh every captured night of a zone the same, as the share of each (zone, night, lead).
     """
+    src = drop_always_blocked(calendar, drop_blocked) if drop_blocked else calendar
     seen = (
-        calendar.where(F.col("lead").between(0, max_lead))
+        src.where(F.col("lead").between(0, max_lead))
         .groupBy(zone, "night", "lead")
         .agg(F.avg("taken").alias("occ"))
     )
@@ -93,9 +96,10 @@ def daily_occupancy(
     levels = curve.groupBy(zone).agg(F.max(F.when(F.col("lead") == reference, F.col("at_lead"))).alias("at_reference"))
     near = nearest_capture(seen, [zone, "night"], max_lead=None)
     moved = attach(attach(near, curve, [zone, "lead"]), levels, [zone])
-    return moved.select(
-        zone, "night", "lead", clip01_percent(F.col("occ") - (F.col("at_lead") - F.col("at_reference"))).alias("pct")
+    daily = moved.select(
+        zone, "night", "lead", clip01_percent(F.col("occ") - (F.col("at_lead") - F.col("at_reference"))).cast("double").alias("pct")
     )
+    return summer_adjust(daily, zone, F.month("night"), "pct", adjust or {})
 
 
 def pickup(calendar: DataFrame, captures: DataFrame, city: str = "city", snapshot: str = "snapshot") -> DataFrame:
