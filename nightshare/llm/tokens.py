@@ -6,10 +6,11 @@ import re
 import sys
 import types
 from array import array
+from collections.abc import Callable
 
 import numpy as np
 
-BYTE_BPE, WORD_BPE, CACHE = "byte_bpe_50k.json", "word_bpe_49k.json", 200_000
+BYTE_BPE, WORD_BPE, CACHE = "byte_bpe_50k.json", "word_bpe_49k.json", 300_000
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 #: Texts with other characters, two white spaces in a row, or a letter after an apostrophe go to the library whole.
 _UNUSUAL = re.compile(rf"[^\n -~{_LETTERS}]|\s\s|'[{_LETTERS}]")
@@ -29,6 +30,23 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b if b in kept else next(spare)) for b in range(256)}
 
 
+class Kept(dict):
+    """Values by key, made where they are missing; at most ``size`` are held, in a newer and an older half of which the older goes."""
+
+    def __init__(self, size: int, make: Callable[[str], bytes]):
+        self.half, self.make, self.before = max(1, size // 2), make, {}
+
+    def __missing__(self, key: str) -> bytes:
+        if len(self) >= self.half:
+            self.before = dict(self)
+            self.clear()
+        value = self.before.get(key)
+        if value is None:
+            value = self.make(key)
+        self[key] = value
+        return value
+
+
 class Encoder:
     """Ids as the tokenizers library gives them without special tokens; special strings are ordinary text.
 
@@ -36,7 +54,7 @@ class Encoder:
     both vocabularies merge on its own. In usual texts such pieces go to the library's merge
     model once each and what stands between them to the whole library once each; other texts
     go to the library whole. Words between spaces are kept as well, with their ids; both caches
-    are emptied at ``cache`` words, so memory is bounded.
+    hold ``cache`` words at most, so memory is bounded, and frequent words stay.
     """
 
     def __init__(self, path: str, cache: int = CACHE):
@@ -47,7 +65,8 @@ class Encoder:
         self.merge = self.library.model.tokenize
         self.words_only = self.library.encode("a b", add_special_tokens=False).ids == self.library.encode("A  B", add_special_tokens=False).ids
         self.letters = _byte_letters()
-        self.cache, self.known, self.pieces = cache, {}, {}
+        self.pieces = Kept(cache, self.piece)
+        self.known = Kept(cache, self.word)
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
@@ -65,22 +84,14 @@ class Encoder:
             return np.zeros(0, np.uint32)
         if _UNUSUAL.search(text):
             return self.whole(text)
-        if len(self.known) > self.cache:
-            self.known.clear()
-            self.pieces.clear()
-        known = self.known
         first, *rest = text.split(" ")
-        for w in set(rest).difference(known):
-            known[w] = self.joined(" " + w)
-        return np.frombuffer(b"".join([self.joined(first), *map(known.__getitem__, rest)]), np.uint32)
+        return np.frombuffer(b"".join([self.joined(first), *map(self.known.__getitem__, rest)]), np.uint32)
+
+    def word(self, word: str) -> bytes:
+        return self.piece(" " + word) if word.isalpha() else self.joined(" " + word)
 
     def joined(self, text: str) -> bytes:
-        out = []
-        for p in _PIECES.findall(text):
-            if (ids := self.pieces.get(p)) is None:
-                ids = self.pieces[p] = self.piece(p)
-            out.append(ids)
-        return b"".join(out)
+        return b"".join(map(self.pieces.__getitem__, _PIECES.findall(text)))
 
 
 def encoder(path: str) -> Encoder:
