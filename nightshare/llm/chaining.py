@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from nightshare.llm.common import saved, whole_groups
@@ -21,20 +21,31 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
+def grams_of(words: list[bytes], k: int) -> np.ndarray:
+    """Hash of the k words at each position."""
+    n = max(0, len(words) - k + 1)
+    w = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+    h = np.zeros(n, np.uint64)
+    for i in range(k if n else 0):
+        h = h * np.uint64(0x100000001B3) + w[i : i + n]
+    return mixed(h, 1)
+
+
+def pairs_of(h: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Hash of each seed with the next one and their distance; the last seed has none."""
+    both = h[:-1].view(np.uint64) * np.uint64(0x100000001B3) + h[1:].view(np.uint64)
+    return mixed(both * np.uint64(0x100000001B3) + np.diff(at).astype(np.uint64), 2).view(np.int64)
+
+
 def seeds_of(words: list[bytes], k: int, window: int) -> tuple[np.ndarray, np.ndarray]:
     """Winnowed k-mers: hash and position of the smallest hash of each run of ``window`` k-mers.
 
     Any run of k + window - 1 equal words holds an equal seed, wherever it stands.
     """
-    n = len(words) - k + 1
-    if n < 1:
+    h = grams_of(words, k)
+    n = len(h)
+    if not n:
         return np.zeros(0, np.int64), np.zeros(0, np.int32)
-    digest = xxhash.xxh64_intdigest
-    w = np.fromiter(map(digest, words), np.uint64, len(words))
-    h = np.zeros(n, np.uint64)
-    for i in range(k):
-        h = h * np.uint64(0x100000001B3) + w[i : i + n]
-    h = mixed(h, 1)
     if n <= window:
         at = np.array([int(h.argmin())])
     else:
@@ -46,16 +57,69 @@ def seeds_of(words: list[bytes], k: int, window: int) -> tuple[np.ndarray, np.nd
 def _seed_rows(docs: DataFrame, id_col: str, text_col: str, k: int, window: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, hs, ps = [], [], []
+            ids, hs, ps, pairs, steps = [], [], [], [], []
             for i, text in enumerate(batch.column(1)):
                 h, p = seeds_of(words_of(text.as_py()), k, window)
                 ids.append(np.full(len(h), i))
                 hs.append(h)
                 ps.append(p)
+                pairs.append(np.r_[pairs_of(h, p), np.zeros(min(1, len(h)), np.int64)])
+                steps.append(np.r_[np.diff(p), np.zeros(min(1, len(p)), np.int32)])
             if ids:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hs)), batch.column(0).take(pa.array(np.concatenate(ids))), pa.array(np.concatenate(ps))], names=["seed", "doc_id", "pos"])
+                step = np.concatenate(steps).astype(np.int32)
+                columns = [pa.array(np.concatenate(hs)), batch.column(0).take(pa.array(np.concatenate(ids))), pa.array(np.concatenate(ps)), pa.array(np.concatenate(pairs), mask=step == 0), pa.array(step, mask=step == 0)]
+                yield pa.RecordBatch.from_arrays(columns, names=["seed", "doc_id", "pos", "pair", "step"])
+
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_col).where("doc_id is not null").mapInArrow(run, "seed bigint, doc_id bigint, pos int, pair bigint, step int")
+
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_col).where("doc_id is not null").mapInArrow(run, "seed bigint, doc_id bigint, pos int")
+def _repeats(places: DataFrame, key: str, name: str) -> DataFrame:
+    """(s, ref_id, ref_pos) of each key of ``places`` (key, doc_id, pos) that stands in several places, with its first one."""
+    first = places.groupBy(key).agg(F.min(F.struct("doc_id", "pos")).alias("at"), F.count(F.lit(1)).alias("places")).where("places > 1")
+    # Written, so that the join has plain shuffles on both sides and a frequent key's rows are split.
+    return saved(first.select(F.col(key).alias("s"), F.col("at.doc_id").alias("ref_id"), F.col("at.pos").alias("ref_pos")), name)
+
+
+def _uncovered(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """``rows`` (doc_id, lo, hi, ...) that do not lie inside one passage of ``found``."""
+    spans = found.groupBy(F.col("doc_id").alias("_d")).agg(F.collect_set(F.struct("start", (F.col("start") + F.col("length")).alias("end"))).alias("_spans"))
+    inside = F.exists("_spans", lambda p: (p.start <= F.col("lo")) & (p.end >= F.col("hi")))
+    return rows.join(saved(spans, "spans"), F.col("doc_id") == F.col("_d"), "left").where(~F.coalesce(inside, F.lit(False))).drop("_d", "_spans")
+
+
+def _exact_rest(texts: DataFrame, seeds: DataFrame, found: DataFrame, k: int, min_words: int) -> DataFrame:
+    """Runs of ``min_words`` or more equal words of an earlier place that ``found`` does not cover.
+
+    Such a run holds two neighbouring seeds, in both places with the same distance. Of the pairs that
+    stand in several places, those near words that are not covered are followed up: each run of
+    ``min_words`` words around one of their places is matched with its own first occurrence.
+    """
+    pairs = seeds.where("pair is not null")
+    first = _repeats(pairs, "pair", "pairs")
+    later = pairs.join(first, F.col("pair") == F.col("s")).where("doc_id != ref_id or pos != ref_pos")
+    around = later.select("pair", "doc_id", F.greatest(F.lit(0), F.col("pos") + F.col("step") + (k - min_words)).alias("lo"), (F.col("pos") + min_words).alias("hi"))
+    asked = saved(_uncovered(around, found).select(F.col("pair").alias("s")).distinct(), "asked")
+    places = pairs.join(asked, F.col("pair") == F.col("s"), "left_semi").groupBy(F.col("doc_id").alias("id")).agg(F.collect_set(F.struct("pos", "step")).alias("places"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc, places, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                h = grams_of(words_of(text), min_words)
+                use = np.zeros(len(h), bool)
+                for p in places:
+                    use[max(0, p["pos"] + p["step"] + k - min_words) : p["pos"] + 1] = True
+                at = np.flatnonzero(use)
+                if len(at):
+                    yield pa.RecordBatch.from_arrays([pa.array(h[at].view(np.int64)), pa.array(np.full(len(at), doc, np.int64)), pa.array(at.astype(np.int32))], names=["gram", "doc_id", "pos"])
+
+    grams = saved(texts.join(places.hint("merge"), F.col("doc_id") == F.col("id")).select("id", "places", "text").mapInArrow(run, "gram bigint, doc_id bigint, pos int"), "grams")
+    matches = grams.join(_repeats(grams, "gram", "first-grams"), F.col("gram") == F.col("s")).where("doc_id != ref_id or pos != ref_pos")
+    matches = matches.select("doc_id", "ref_id", F.col("pos").cast("long").alias("lo"), (F.col("pos") + min_words).cast("long").alias("hi"), (F.col("pos") - F.col("ref_pos")).cast("long").alias("off"))
+    rest = _uncovered(matches.distinct(), found)
+    order = Window.partitionBy("doc_id", "ref_id", "off").orderBy("lo")
+    runs = rest.withColumn("run", F.col("lo") - F.row_number().over(order)).groupBy("doc_id", "ref_id", "off", "run").agg(F.min("lo").alias("start"), F.max("hi").alias("end"))
+    size = F.col("end") - F.col("start")
+    return runs.select("doc_id", "ref_id", "start", size.alias("length"), (F.col("start") - F.col("off")).alias("ref_start"), size.alias("ref_length"), size.alias("equal_words"), F.lit(1.0).alias("identity"))
 
 
 class Fenwick:
@@ -183,17 +247,17 @@ def passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
     A seed is matched with its first occurrence only (smallest id, then position), so a seed in n
     documents gives n - 1 matches, never pairs of a group. Matches of two documents are chained
     with gap costs; chains are aligned on their words with ``pad`` words to each side, and kept at
-    ``identity`` equal words or more. The first document of a passage appears as ref_id. Repeats
-    inside one document count (ref_id = doc_id).
+    ``identity`` equal words or more. Exact repeats that this leaves, as their seeds first stand in
+    several documents, are found by the first occurrences of their runs of ``min_words`` words: no
+    run of so many equal words stays outside the passages. The first document of a passage
+    appears as ref_id. Repeats inside one document count (ref_id = doc_id).
 
     Null and empty texts have no passages; rows with null id take no part; repeated rows with one
     id count as one document.
     Other columns are ignored. An empty table gives an empty result.
     """
     seeds = saved(_seed_rows(docs, id_col, text_col, k, window), "seeds")
-    first = seeds.groupBy("seed").agg(F.min(F.struct("doc_id", "pos")).alias("at"), F.count(F.lit(1)).alias("places")).where("places > 1")
-    # Written, so that the join has plain shuffles on both sides and a frequent seed's rows are split.
-    first = saved(first.select(F.col("seed").alias("s"), F.col("at.doc_id").alias("ref_id"), F.col("at.pos").alias("ref_pos")), "first")
+    first = _repeats(seeds, "seed", "first")
     matches = seeds.join(first, F.col("seed") == F.col("s")).where("doc_id != ref_id or pos != ref_pos").select("doc_id", "ref_id", "pos", "ref_pos")
     # min_words equal words hold that many disjoint windows, each with a seed.
     least = max(1, (min_words - k + 1) // window)
@@ -232,13 +296,15 @@ def passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
                 cols = [*zip(*out, strict=True)]
                 yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:7]), pa.array(cols[7], pa.float64())], names=["doc_id", "ref_id", "start", "length", "ref_start", "ref_length", "equal_words", "identity"])
 
-    return (
+    direct = (
         found.join(left, ["doc_id", "x0", "x1"])
         .join(right, ["ref_id", "y0", "y1"])
         .select("doc_id", "ref_id", "xs", "ys", "a", "b")
         .mapInArrow(aligned, "doc_id bigint, ref_id bigint, start bigint, length bigint, ref_start bigint, ref_length bigint, equal_words bigint, identity double")
         .distinct()
     )
+    direct = saved(direct, "direct")
+    return direct.unionByName(_exact_rest(texts.where("doc_id is not null"), seeds, direct, k, min_words))
 
 
 def without_passages(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

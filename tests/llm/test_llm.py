@@ -526,6 +526,24 @@ def test_passages_exact_and_fuzzy(spark):
     assert {(r.doc_id, r.ref_id) for r in twice} == {(2, 1)}
 
 
+def test_exact_passages_whose_parts_stand_earlier(spark):
+    cases, texts = [], []
+    for n, parts in enumerate([[(0, 30), (30, 60)], [(0, 40), (40, 80)], [(0, 20), (20, 40), (40, 60)], [(0, 45), (10, 55), (20, 65)], [(0, 49), (1, 50)]]):
+        for again in range(6):
+            p = prose(parts[-1][1], 1000 + 10 * n + again)
+            for a, b in parts:
+                texts.append([*prose(15, 2000 + len(texts)), *p[a:b], *prose(15, 3000 + len(texts))])
+            texts.append([*prose(30, 2000 + len(texts)), *p, *prose(30, 3000 + len(texts))])
+            cases.append((len(texts), len(texts) - 1, len(p)))
+            texts.append([*prose(35, 2000 + len(texts)), *p, *prose(30, 3000 + len(texts))])
+    rows = chaining.passages(docs_of(spark, [" ".join(t) for t in texts])).collect()
+    assert all(texts[r.doc_id][r.start : r.start + r.length] == texts[r.ref_id][r.ref_start : r.ref_start + r.ref_length] for r in rows)
+    got = defaultdict(set)
+    for r in rows:
+        got[r.doc_id, r.ref_id].update(range(r.start, r.start + r.length))
+    assert got == {(doc, ref): set(range(35, 35 + size)) for doc, ref, size in cases}
+
+
 def test_remove_spans_keeps_other_bytes():
     assert chaining.remove_spans("a  b\nc d\t e ", [(1, 3)]) == "a  d\t e "
     assert chaining.remove_spans(" a b", [(0, 1)]) == " b"
