@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 
@@ -215,19 +216,137 @@ def similarity_radius(similarity: float, bits: int, margin: float = 1.5) -> int:
     return math.ceil(bits * p + margin * math.sqrt(bits * p * (1 - p)))
 
 
-def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, parts: int = 8, keys: int = 5, seed: int = SEED) -> DataFrame:
-    """(doc_id, component_id) of every row: groups of texts of about ``similarity`` or more on word shingles.
+def _set_prints(docs: DataFrame, id_col: str, text_col: str, shingle: int, seed: int, parts: int, keys: int) -> DataFrame:
+    """(doc_id, digest of the set of shingles, its fingerprint of 8 * parts bytes, keys); a shingle counts once, however often it stands."""
+    id_type = docs.schema[id_col].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            digests, prints, mins = [], [], []
+            for text in batch.column(1):
+                h = np.unique(shingle_hashes(text.as_py(), shingle, seed))
+                digests.append(hashlib.blake2b(h.tobytes(), digest_size=16).digest())
+                prints.append(b"".join(majority(mixed(h, k)).to_bytes(8, "big") for k in range(parts)))
+                mins.append([int(mixed(h, 1000 + k).min().astype(np.int64)) for k in range(keys)] if len(h) else [0] * keys)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.binary()), pa.array(prints, pa.binary()), pa.array(mins, pa.list_(pa.int64()))], names=["doc_id", "digest", "fingerprint", "keys"])
+
+    return docs.select(F.col(id_col).alias("doc_id"), text_col).mapInArrow(run, f"doc_id {id_type}, digest binary, fingerprint binary, keys array<bigint>")
+
+
+def candidate_edges(values: np.ndarray, label: np.ndarray, wrong: list[set[int]], radius: int) -> list[tuple[int, int]]:
+    """Pairs of rows within the radius that connect the labels: a spanning forest over all pairs but the ``wrong`` ones."""
+    n = len(values)
+    _, own = np.unique(label, return_inverse=True)
+    root, planes, out = np.arange(n), bit_planes(values), []
+    for shift in range(1, n):
+        root = root[root]
+        group = root[own]
+        mask = group[: n - shift] != group[shift:]
+        if not mask.any():
+            if len(np.unique(group)) == 1:
+                break
+            continue
+        live = int.from_bytes(np.packbits(mask, bitorder="little").tobytes(), "little")
+        alive = within(planes, shift, live, radius)
+        for i in np.flatnonzero(np.unpackbits(np.frombuffer(alive.to_bytes((n + 7) // 8, "little"), np.uint8), bitorder="little")).tolist() if alive else []:
+            a, b = root[own[i]], root[own[i + shift]]
+            if a != b and i + shift not in wrong[i]:
+                root[root == max(a, b)] = min(a, b)
+                out.append((i, i + shift))
+    return out
+
+
+def _candidates(members: DataFrame, wrong: DataFrame | None, radius: int, tile: int = TILE) -> DataFrame:
+    """``members`` (bucket, value, node, label) -> pairs (bucket, a, b) to look at, tiled as in bucket_links; pairs in ``wrong`` (a, b) are not asked again."""
+    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").withColumnRenamed("bucket", "k")
+    tiles = F.ceil(F.col("n") / tile)
+    own = F.pmod(F.xxhash64(F.lit("tile"), "node"), tiles)
+    pairs = F.transform(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1), lambda t: F.struct(F.least(t, F.col("own")).alias("lo"), F.greatest(t, F.col("own")).alias("hi")))
+    dealt = members.join(sizes, F.col("bucket") == F.col("k")).withColumn("tiles", tiles).withColumn("own", own)
+    if wrong is None:
+        dealt = dealt.withColumn("not", F.array().cast("array<bigint>"))
+    else:
+        lists = saved(wrong.groupBy(F.col("a").alias("_a")).agg(F.collect_set("b").alias("not")), "wrong-lists")
+        dealt = dealt.join(lists, F.col("node") == F.col("_a"), "left").drop("_a")
+    dealt = dealt.select("bucket", "node", "label", "value", "not", F.inline(pairs))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in whole_groups(batches, ("bucket", "lo", "hi")):
+            bucket, lo, hi, node, label = (t[c].to_numpy() for c in ("bucket", "lo", "hi", "node", "label"))
+            edges = np.r_[np.flatnonzero(np.r_[True, (bucket[1:] != bucket[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])]), len(bucket)]
+            values = np.frombuffer(b"".join(t["value"].to_pylist()), np.uint8).reshape(t.num_rows, -1)
+            lists, out = t["not"].to_pylist(), []
+            for e in np.flatnonzero(np.diff(edges) > 1).tolist():
+                own_ = slice(int(edges[e]), int(edges[e + 1]))
+                place = {v: i for i, v in enumerate(node[own_].tolist())}
+                no = [set() for _ in place]
+                for i, others in enumerate(lists[own_]):
+                    for j in (place[v] for v in others or () if v in place):
+                        no[min(i, j)].add(max(i, j))
+                out += [(own_.start + i, own_.start + j) for i, j in candidate_edges(values[own_], label[own_], no, radius)]
+            if out:
+                at, to = np.array(out).T
+                yield pa.RecordBatch.from_arrays([pa.array(bucket[at]), pa.array(np.minimum(node[at], node[to])), pa.array(np.maximum(node[at], node[to]))], names=["bucket", "a", "b"])
+
+    return dealt.repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi", "node").mapInArrow(run, "bucket bigint, a bigint, b bigint")
+
 
-    Wide fingerprints (64 * parts bits) are compared bit-sliced inside buckets. Texts share a
-    bucket where one of ``keys`` smallest shingle hashes agrees, which misses a pair of Jaccard
-    similarity s with probability (1 - s) ** keys. The similarity is an estimate from the
-    differing bits (standard error 0.025 at 0.8). Texts without words form one group.
+def _shingle_sets(texts: DataFrame, shingle: int, seed: int) -> DataFrame:
+    """``texts`` (node, text) -> (node, shingles): the set of shingle hashes, where it is the node's (rows of one id may hold other texts)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, digest, text in zip(*batch.columns, strict=True):
+                h = np.unique(shingle_hashes(text.as_py(), shingle, seed)).view(np.int64)
+                if hashlib.blake2b(h.tobytes(), digest_size=16).digest() != digest.as_py():
+                    continue
+                yield pa.RecordBatch.from_arrays([pa.array([node.as_py()], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(h)], pa.int32()), pa.array(h))], names=["node", "shingles"])
+
+    return texts.mapInArrow(run, "node bigint, shingles array<bigint>")
+
+
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, parts: int = 8, keys: int = 5, seed: int = SEED) -> DataFrame:
+    """(doc_id, component_id) of every row: groups of texts linked by a Jaccard similarity of ``similarity`` or more of their sets of word shingles.
+
+    Texts of one set of shingles form a node. Wide fingerprints (64 * parts bits) of the sets are
+    compared bit-sliced inside buckets; nodes share a bucket where one of ``keys`` smallest
+    shingle hashes agrees, which misses a pair of Jaccard similarity s with probability
+    (1 - s) ** keys. The fingerprints only choose what to look at: every link is
+    checked by the exact Jaccard similarity of the sets. Each round checks pairs that would connect
+    a bucket's nodes; buckets with a pair that fails are looked at again without it, until
+    nothing is left to check. Texts without words form one group.
     """
-    prints = saved(fingerprints(docs, id_col, text_col, shingle, seed, parts, keys), "wide")
-    classes = saved(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first"), F.min("keys").alias("keys")).withColumn("node", F.xxhash64("fingerprint")), "classes")
-    members = classes.select(F.posexplode("keys").alias("k", "key"), F.col("fingerprint").alias("value"), "node").select(F.xxhash64("k", "key").alias("bucket"), "value", "node")
-    roots = components(bucket_links(members, similarity_radius(similarity, 64 * parts))).withColumnRenamed("node", "n")
+    prints = saved(_set_prints(docs, id_col, text_col, shingle, seed, parts, keys).withColumn("node", F.xxhash64("digest")), "wide")
+    classes = saved(prints.groupBy("node").agg(F.min("doc_id").alias("first"), F.min(F.struct("fingerprint", "keys")).alias("p")).select("node", "first", "p.fingerprint", "p.keys"), "classes")
+    members = saved(classes.select(F.posexplode("keys").alias("k", "key"), F.col("fingerprint").alias("value"), "node").select(F.xxhash64("k", "key").alias("bucket"), "value", "node").distinct(), "members")
+    labelled, good, wrong, roots = members.withColumn("label", F.col("node")), None, None, None
+    radius = similarity_radius(similarity, 64 * parts)
+    by_id = docs.select(F.col(id_col).alias("_i"), F.col(text_col).alias("text"))
+    while True:
+        asked = saved(_candidates(labelled, wrong, radius), "asked")
+        edges = saved(asked.select("a", "b").distinct(), "edges")
+        if edges.isEmpty():
+            break
+        nodes = edges.select(F.explode(F.array("a", "b")).alias("n")).distinct()
+        holders = prints.join(nodes, F.col("node") == F.col("n"), "left_semi").groupBy("node").agg(F.min(F.struct("doc_id", "digest")).alias("h")).select("node", F.col("h.doc_id").alias("holder"), "h.digest")
+        found = by_id.join(saved(holders, "holders").hint("merge"), F.col("_i").eqNullSafe(F.col("holder"))).select("node", "digest", "text")
+        sets = saved(_shingle_sets(found, shingle, seed).groupBy("node").agg(F.first("shingles").alias("shingles")), "sets")
+        first, second = (sets.select(F.col("node").alias(f"n{x}"), F.col("shingles").alias(f"s{x}")) for x in "ab")
+        both = F.size(F.array_intersect("sa", "sb"))
+        pairs = edges.join(first.hint("merge"), F.col("a") == F.col("na")).join(second.hint("merge"), F.col("b") == F.col("nb"))
+        checked = saved(pairs.select("a", "b", (both >= F.lit(similarity) * (F.size("sa") + F.size("sb") - both)).alias("good")), "checked")
+        new, bad = checked.where("good").select("a", "b"), checked.where("not good").select("a", "b")
+        good = new if good is None else good.unionByName(new)
+        if bad.isEmpty():
+            break
+        wrong = bad if wrong is None else wrong.unionByName(bad)
+        again = saved(asked.join(bad, ["a", "b"], "left_semi").select(F.col("bucket").alias("_k")).distinct(), "again")
+        roots = components(good).withColumnRenamed("node", "n")
+        members = saved(members.join(again, F.col("bucket") == F.col("_k"), "left_semi"), "members")
+        labelled = saved(members.join(roots, F.col("node") == F.col("n"), "left").select("bucket", "value", "node", F.coalesce("root", "node").alias("label")), "labelled")
+    links = good if good is not None else classes.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
+    roots = components(links).withColumnRenamed("node", "n")
     rooted = saved(classes.join(roots, F.col("node") == F.col("n"), "left").select("node", F.coalesce("root", "node").alias("root"), "first"), "roots")
     smallest = saved(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "smallest")
     labels = saved(rooted.join(smallest, "root").select(F.col("node").alias("n"), "component_id"), "labels")
-    return prints.withColumn("node", F.xxhash64("fingerprint")).join(labels, F.col("node") == F.col("n")).select("doc_id", "component_id")
+    return prints.join(labels, F.col("node") == F.col("n")).select("doc_id", "component_id")

@@ -153,6 +153,23 @@ def test_near_copies(spark):
     assert got == {0: 0, 1: 0, 2: 2, 3: 3, 4: 0}
 
 
+def test_near_copies_are_checked_by_exact_similarity(spark):
+    line = prose(12, 60)
+    lone = [" ".join([*line * 60, *prose(150, 61 + i)]) for i in range(12)]
+    base = prose(200, 90)
+    line_twice, line_often = (" ".join([*base, *line * n]) for n in (2, 60))
+    assert jaccard(line_twice, line_often) == 1.0 and max(jaccard(a, b) for a, b in itertools.combinations(lone, 2)) < 0.2
+    got = {r.doc_id: r.component_id for r in simhash.near_copies(docs_of(spark, [*lone, line_twice, line_often])).collect()}
+    assert got == {**{i: i for i in range(12)}, 12: 12, 13: 12}
+
+
+def test_candidates_connect_without_wrong_pairs():
+    values = np.array([[0], [1], [3], [255]], np.uint8)
+    assert {frozenset(e) for e in simhash.candidate_edges(values, np.arange(4), [set()] * 4, 2)} <= {frozenset(e) for e in [(0, 1), (1, 2), (0, 2)]}
+    assert simhash.candidate_edges(values, np.arange(4), [{1}, set(), set(), set()], 2) == [(1, 2), (0, 2)]
+    assert simhash.candidate_edges(values, np.array([5, 5, 9, 7]), [set()] * 4, 2) == [(1, 2)]
+
+
 # --- WARC --------------------------------------------------------------------------------
 
 
