@@ -210,7 +210,7 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return prints.join(labels, F.col("node") == F.col("n")).select("doc_id", "fingerprint", "component_id")
 
 
-def similarity_radius(similarity: float, bits: int, margin: float = 1.5) -> int:
+def similarity_radius(similarity: float, bits: int, margin: float = 4) -> int:
     """Differing bits of texts of that Jaccard similarity: the expected number and ``margin`` standard deviations more."""
     p = math.acos(2 * similarity / (1 + similarity)) / math.pi
     return math.ceil(bits * p + margin * math.sqrt(bits * p * (1 - p)))
@@ -311,7 +311,8 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Texts of one set of shingles form a node. Wide fingerprints (64 * parts bits) of the sets are
     compared bit-sliced inside buckets; nodes share a bucket where one of ``keys`` smallest
     shingle hashes agrees, which misses a pair of Jaccard similarity s with probability
-    (1 - s) ** keys. The fingerprints only choose what to look at: every link is
+    (1 - s) ** keys. The fingerprints only choose what to look at, with four standard deviations
+    to spare: every link is
     checked by the exact Jaccard similarity of the sets. Each round checks pairs that would connect
     a bucket's nodes; buckets with a pair that fails are looked at again without it, until
     nothing is left to check. Texts without words form one group.

@@ -163,6 +163,19 @@ def test_near_copies_are_checked_by_exact_similarity(spark):
     assert got == {**{i: i for i in range(12)}, 12: 12, 13: 12}
 
 
+def test_near_copies_at_the_bound(spark):
+    texts, want = [], {}
+    for n in range(120):
+        base = prose(140, 5000 + n)
+        edits = 3 if n % 2 else 4
+        other = [f"e{i}" if i % 30 == 20 and i < 30 * edits else w for i, w in enumerate(base)]
+        want |= {len(texts): len(texts), len(texts) + 1: len(texts) + (edits > 3)}
+        texts += [" ".join(base), " ".join(other)]
+        assert (0.8 <= jaccard(*texts[-2:]) < 0.81) if edits == 3 else (0.72 < jaccard(*texts[-2:]) < 0.8)
+    got = {r.doc_id: r.component_id for r in simhash.near_copies(docs_of(spark, texts)).collect()}
+    assert got == want
+
+
 def test_candidates_connect_without_wrong_pairs():
     values = np.array([[0], [1], [3], [255]], np.uint8)
     assert {frozenset(e) for e in simhash.candidate_edges(values, np.arange(4), [set()] * 4, 2)} <= {frozenset(e) for e in [(0, 1), (1, 2), (0, 2)]}
