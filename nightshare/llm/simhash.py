@@ -210,7 +210,7 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return prints.join(labels, F.col("node") == F.col("n")).select("doc_id", "fingerprint", "component_id")
 
 
-def similarity_radius(similarity: float, bits: int, margin: float = 4) -> int:
+def similarity_radius(similarity: float, bits: int, margin: float = 3) -> int:
     """Differing bits of texts of that Jaccard similarity: the expected number and ``margin`` standard deviations more."""
     p = math.acos(2 * similarity / (1 + similarity)) / math.pi
     return math.ceil(bits * p + margin * math.sqrt(bits * p * (1 - p)))
@@ -233,30 +233,31 @@ def _set_prints(docs: DataFrame, id_col: str, text_col: str, shingle: int, seed:
     return docs.select(F.col(id_col).alias("doc_id"), text_col).mapInArrow(run, f"doc_id {id_type}, digest binary, fingerprint binary, keys array<bigint>")
 
 
-def candidate_edges(values: np.ndarray, label: np.ndarray, wrong: list[set[int]], radius: int) -> list[tuple[int, int]]:
-    """Pairs of rows within the radius that connect the labels: a spanning forest over all pairs but the ``wrong`` ones."""
+def candidate_edges(values: np.ndarray, label: np.ndarray, wrong: list[set[int]], radius: int, more: int = 0) -> list[tuple[int, int]]:
+    """Pairs of rows of different labels within the radius, without the ``wrong`` ones: a forest that connects the labels, and up to ``more`` pairs a row besides."""
     n = len(values)
     _, own = np.unique(label, return_inverse=True)
-    root, planes, out = np.arange(n), bit_planes(values), []
+    root, planes, count, out = np.arange(n), bit_planes(values), np.zeros(n, int), []
     for shift in range(1, n):
-        root = root[root]
         group = root[own]
-        mask = group[: n - shift] != group[shift:]
+        mask = (group[: n - shift] != group[shift:]) | ((own[: n - shift] != own[shift:]) & (count[: n - shift] < more) & (count[shift:] < more))
         if not mask.any():
-            if len(np.unique(group)) == 1:
-                break
             continue
-        live = int.from_bytes(np.packbits(mask, bitorder="little").tobytes(), "little")
-        alive = within(planes, shift, live, radius)
+        alive = within(planes, shift, int.from_bytes(np.packbits(mask, bitorder="little").tobytes(), "little"), radius)
         for i in np.flatnonzero(np.unpackbits(np.frombuffer(alive.to_bytes((n + 7) // 8, "little"), np.uint8), bitorder="little")).tolist() if alive else []:
-            a, b = root[own[i]], root[own[i + shift]]
-            if a != b and i + shift not in wrong[i]:
+            j = i + shift
+            a, b = root[own[i]], root[own[j]]
+            if j in wrong[i] or a == b and max(count[i], count[j]) >= more:
+                continue
+            if a != b:
                 root[root == max(a, b)] = min(a, b)
-                out.append((i, i + shift))
+            count[i] += 1
+            count[j] += 1
+            out.append((i, j))
     return out
 
 
-def _candidates(members: DataFrame, wrong: DataFrame | None, radius: int, tile: int = TILE) -> DataFrame:
+def _candidates(members: DataFrame, wrong: DataFrame | None, radius: int, more: int, tile: int = TILE) -> DataFrame:
     """``members`` (bucket, value, node, label) -> pairs (bucket, a, b) to look at, tiled as in bucket_links; pairs in ``wrong`` (a, b) are not asked again."""
     sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").withColumnRenamed("bucket", "k")
     tiles = F.ceil(F.col("n") / tile)
@@ -283,7 +284,7 @@ def _candidates(members: DataFrame, wrong: DataFrame | None, radius: int, tile:
                 for i, others in enumerate(lists[own_]):
                     for j in (place[v] for v in others or () if v in place):
                         no[min(i, j)].add(max(i, j))
-                out += [(own_.start + i, own_.start + j) for i, j in candidate_edges(values[own_], label[own_], no, radius)]
+                out += [(own_.start + i, own_.start + j) for i, j in candidate_edges(values[own_], label[own_], no, radius, more)]
             if out:
                 at, to = np.array(out).T
                 yield pa.RecordBatch.from_arrays([pa.array(bucket[at]), pa.array(np.minimum(node[at], node[to])), pa.array(np.maximum(node[at], node[to]))], names=["bucket", "a", "b"])
@@ -311,7 +312,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Texts of one set of shingles form a node. Wide fingerprints (64 * parts bits) of the sets are
     compared bit-sliced inside buckets; nodes share a bucket where one of ``keys`` smallest
     shingle hashes agrees, which misses a pair of Jaccard similarity s with probability
-    (1 - s) ** keys. The fingerprints only choose what to look at, with four standard deviations
+    (1 - s) ** keys. The fingerprints only choose what to look at, with three standard deviations
     to spare: every link is
     checked by the exact Jaccard similarity of the sets. Each round checks pairs that would connect
     a bucket's nodes; buckets with a pair that fails are looked at again without it, until
@@ -321,10 +322,10 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     classes = saved(prints.groupBy("node").agg(F.min("doc_id").alias("first"), F.min(F.struct("fingerprint", "keys")).alias("p")).select("node", "first", "p.fingerprint", "p.keys"), "classes")
     members = saved(classes.select(F.posexplode("keys").alias("k", "key"), F.col("fingerprint").alias("value"), "node").select(F.xxhash64("k", "key").alias("bucket"), "value", "node").distinct(), "members")
     labelled, good, wrong, roots = members.withColumn("label", F.col("node")), None, None, None
-    radius = similarity_radius(similarity, 64 * parts)
+    radius, more = similarity_radius(similarity, 64 * parts), 0
     by_id = docs.select(F.col(id_col).alias("_i"), F.col(text_col).alias("text"))
     while True:
-        asked = saved(_candidates(labelled, wrong, radius), "asked")
+        asked = saved(_candidates(labelled, wrong, radius, more), "asked")
         edges = saved(asked.select("a", "b").distinct(), "edges")
         if edges.isEmpty():
             break
@@ -340,6 +341,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         good = new if good is None else good.unionByName(new)
         if bad.isEmpty():
             break
+        more = max(16, 8 * more)  # few rounds, however many pairs fail
         wrong = bad if wrong is None else wrong.unionByName(bad)
         again = saved(asked.join(bad, ["a", "b"], "left_semi").select(F.col("bucket").alias("_k")).distinct(), "again")
         roots = components(good).withColumnRenamed("node", "n")
