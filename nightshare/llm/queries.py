@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nightshare.llm import chaining, licenses, mixing, packing, permutation_search, pivot_search, planes, quality, simhash, warc
+from nightshare.llm import chaining, collocations, lexical, licenses, mixing, packing, permutation_search, pieces, pivot_search, planes, quality, simhash, warc
 from nightshare.llm.common import saved, table
 
 
@@ -53,6 +53,18 @@ def op10_collinear_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chaining.passages(table(spark, sf_dir, "documents"))
 
 
+def op11_stripe_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_geometric_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_merge_round_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.piece_digests(table(spark, sf_dir, "documents"))
+
+
 OP1_SQL = """
 WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
 f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest HAVING count(*) > 1)
@@ -101,6 +113,9 @@ QUERIES = {
         op8_permutation_neighbours,
         op9_hypergeometric_mix,
         op10_collinear_passages,
+        op11_stripe_collocations,
+        op12_geometric_search,
+        op13_merge_round_pieces,
     )
 }
-SQL = {"op1_warc_capture_index": OP1_SQL, "op2_pivot_distance_topk": OP2_SQL, "op7_diagonal_licenses": licenses.license_sql(), "op9_hypergeometric_mix": OP9_SQL}
+SQL = {"op1_warc_capture_index": OP1_SQL, "op2_pivot_distance_topk": OP2_SQL, "op7_diagonal_licenses": licenses.license_sql(), "op9_hypergeometric_mix": OP9_SQL, "op11_stripe_collocations": collocations.collocation_sql(), "op12_geometric_search": lexical.LEXICAL_SQL}
