@@ -265,7 +265,7 @@ class Pieces:
         for a, b, first in zip(offsets[:-1].tolist(), offsets[1:].tolist(), firsts.tolist()):
             drop = first < b and bool(self.spaced[ids[first]])
             begin, stops = bounds[a] + drop, [b]
-            if shown[b] - shown[a] < b - a - 1:  # bytes do not join across control ids inside
+            if b > a and shown[b - 1] - shown[a] < b - 1 - a:  # bytes do not join across control ids inside
                 stops = [*(a + np.flatnonzero(self.control[ids[a:b]])).tolist(), b]
             parts = []
             for stop in stops:
