@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def changes(archive: DataFrame, capture: DataFrame, key: str, watched: Sequence[str], day: Column) -> DataFrame:
@@ -46,41 +47,98 @@ def merge(archive: DataFrame | None, capture: DataFrame, key: str, day: Column)
     )
 
 
-def fold(archive: DataFrame | None, batch: DataFrame, key: str, watched: Sequence[str], day: str) -> tuple[DataFrame, DataFrame]:
-    """(archive after all captures of a batch, change log), whatever captures share the batch.
+#: Columns of an archive's state that are not fields of the captures.
+LEDGER = ("first_seen", "last_seen", "captures", "counted", "steps")
 
-    A key's row of each capture day follows its row of the day before, the archive's row standing at
-    its last day; each step between neighbours is compared. A capture day that the archive ends
-    with is not counted again. Of several rows of a key and day the one that sorts last counts.
+
+def keyed_captures(batch: DataFrame, key: str, watched: Sequence[str], day: str) -> DataFrame:
+    """One row per key: its captures as a sorted array of (day, watched, other), one entry a day.
+
+    Of several rows of a key and day the largest counts, by the watched fields first, so the outcome
+    does not depend on the order in which they land. Rows without a key or a day are no captures.
+    The array has an entry per capture day, so its length does not grow with the data.
     """
-    from pyspark.sql import Window
+    other = [c for c in batch.columns if c not in (key, day, *watched)]
+    rows = batch.where(F.col(key).isNotNull() & F.col(day).isNotNull())
+    rows = rows.select(key, F.to_date(day).alias("__day"), F.struct(F.struct(*watched).alias("w"), F.struct(*other, F.lit(True).alias("__there")).alias("o")).alias("__row"))
+    daily = rows.groupBy(key, "__day").agg(F.max("__row").alias("__row"))
+    return daily.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(F.col("__day").alias("day"), "__row.w", "__row.o"))).alias("__new"))
+
 
-    fields = [c for c in batch.columns if c not in (key, day)]
-    rows = batch.groupBy(key, day).agg(F.max(F.struct(*fields)).alias("__row")).withColumn("__old", F.lit(False))
-    seen = {"first_seen": F.col(day), "last_seen": F.col(day), "captures": F.lit(1).cast("bigint")}
-    rows = rows.withColumns(seen)
-    if archive is not None:
-        rows = rows.unionByName(archive.select(key, F.col("last_seen").alias(day), F.struct(*fields).alias("__row"), F.lit(True).alias("__old"), "first_seen", "last_seen", "captures"))
-    order = Window.partitionBy(key).orderBy(day, F.desc("__old"))
-    rows = rows.withColumn("__before", F.lag("__row").over(order)).withColumn("__again", F.coalesce(F.lag("__old").over(order) & (F.lag(day).over(order) == F.col(day)), F.lit(False)))
-    differ = F.array(
-        *[
-            F.when(
-                ~F.col(f"__before.{w}").eqNullSafe(F.col(f"__row.{w}")),
-                F.struct(F.lit(w).alias("field"), F.col(f"__before.{w}").cast("string").alias("before"), F.col(f"__row.{w}").cast("string").alias("after")),
-            )
-            for w in watched
-        ]
+def advance(state: DataFrame | None, captures: DataFrame, key: str, watched: Sequence[str], fields: Sequence[str]) -> DataFrame:
+    """The state of every key of ``captures`` (see :func:`keyed_captures`) after them.
+
+    ``state`` holds, per key, the fields of its last capture, ``counted`` (its capture days as words of 64 bits)
+    and ``steps`` (the watched fields on the first day and on each day that changed them). These say what
+    the watched fields were on every counted day, so a capture that lands again, late or in another
+    order leads to the same state. For a key whose new days all follow its last one only the last step is looked at.
+    """
+    if state is None:
+        both = captures.withColumn("__old", F.lit(None).cast(_state_struct(captures, watched, fields)))
+    else:
+        old = state.select(F.col(key).alias("__key"), F.struct(*fields, *LEDGER).alias("__old"))
+        both = captures.join(old, F.col(key) == F.col("__key"), "left").drop("__key")
+    value = "named_struct(" + ", ".join(f"'{w}', __old.`{w}`" for w in watched) + ")"
+    other = [f for f in fields if f not in watched]
+    rest = "named_struct(" + ", ".join([*[f"'{f}', __old.`{f}`" for f in other], "'__there', true"]) + ")"
+    late = "(__old IS NOT NULL AND __new[0].day <= __old.last_seen)"
+    both = both.selectExpr(
+        f"`{key}`",
+        "__new",
+        "__old",
+        f"CASE WHEN {late} THEN flatten(transform(__old.counted, x -> transform(filter(sequence(0, 63), i -> (shiftright(x.bits, i) & 1) = 1), i -> date_from_unix_date(cast(x.word * 64 + i AS INT)))))"
+        " ELSE cast(array() AS ARRAY<DATE>) END AS __days",
+    )
+    # The watched fields by day: of the days counted before, where a capture lands among them, and of the new ones.
+    held = "transform(filter(array(d), x -> array_contains(__days, x)), x -> try_element_at(filter(__old.steps, s -> s.day <= x), -1).w)"
+    both = both.selectExpr(
+        "*",
+        f"transform(array_sort(array_union(__days, transform(__new, x -> x.day))), d -> named_struct('day', d, 'w', array_max(concat({held}, transform(filter(__new, x -> x.day = d), x -> x.w))))) AS __points",
+        f"CASE WHEN {late} OR __old IS NULL THEN NULL ELSE named_struct('day', __old.last_seen, 'w', {value}) END AS __before",
+    )
+    both = both.selectExpr("*", "CASE WHEN __before IS NULL THEN __points ELSE concat(array(__before), __points) END AS __line")
+    changed = "filter(__line, (x, i) -> (i = 0 AND __before IS NULL) OR (i > 0 AND NOT (x.w <=> __line[i - 1].w)))"
+    last = "element_at(__new, -1)"
+    # Captures of one day weigh against each other as in keyed_captures.
+    newest = (
+        f"CASE WHEN __old IS NULL OR {last}.day > __old.last_seen THEN named_struct('w', {last}.w, 'o', {last}.o)"
+        f" WHEN {last}.day < __old.last_seen THEN named_struct('w', {value}, 'o', {rest})"
+        f" ELSE greatest(named_struct('w', {value}, 'o', {rest}), named_struct('w', {last}.w, 'o', {last}.o)) END"
     )
-    log = rows.where(~F.col("__old") & F.col("__before").isNotNull()).select(key, F.col(day).alias("captured"), F.explode(F.filter(differ, lambda x: x.isNotNull())).alias("c"))
-    last = F.max_by("__row", F.struct(F.col(day), ~F.col("__old")))
-    after = rows.groupBy(key).agg(
-        last.alias("__row"),
-        F.min("first_seen").alias("first_seen"),
-        F.max("last_seen").alias("last_seen"),
-        F.sum(F.when(F.col("__again"), 0).otherwise(F.col("captures"))).alias("captures"),
+    words = "array_union(coalesce(transform(__old.counted, x -> x.word), cast(array() AS ARRAY<INT>)), transform(__new, x -> cast(floor(unix_date(x.day) / 64) AS INT)))"
+    bits = (
+        "aggregate(filter(__new, x -> cast(floor(unix_date(x.day) / 64) AS INT) = k), coalesce(try_element_at(filter(__old.counted, x -> x.word = k), 1).bits, 0L),"
+        " (a, x) -> a | shiftleft(1L, pmod(unix_date(x.day), 64)))"
+    )
+    both = both.selectExpr("*", f"{newest} AS __last", f"transform(array_sort({words}), k -> named_struct('word', k, 'bits', {bits})) AS counted", f"CASE WHEN __before IS NULL THEN {changed} ELSE concat(__old.steps, {changed}) END AS steps")
+    return both.selectExpr(
+        f"`{key}`",
+        *[f"__last.w.`{f}` AS `{f}`" if f in watched else f"__last.o.`{f}` AS `{f}`" for f in fields],
+        "least(__old.first_seen, __new[0].day) AS first_seen",
+        f"greatest(__old.last_seen, {last}.day) AS last_seen",
+        "aggregate(counted, 0L, (a, x) -> a + bit_count(x.bits)) AS captures",
+        "counted",
+        "steps",
+    )
+
+
+def _state_struct(captures: DataFrame, watched: Sequence[str], fields: Sequence[str]) -> T.StructType:
+    entry = captures.schema["__new"].dataType.elementType
+    types = {f.name: f.dataType for part in ("w", "o") for f in entry[part].dataType}
+    step = T.StructType([T.StructField("day", T.DateType()), T.StructField("w", entry["w"].dataType)])
+    word = T.StructType([T.StructField("word", T.IntegerType()), T.StructField("bits", T.LongType())])
+    ledger = [T.DateType(), T.DateType(), T.LongType(), T.ArrayType(word), T.ArrayType(step)]
+    return T.StructType([T.StructField(f, types[f]) for f in fields] + [T.StructField(n, t) for n, t in zip(LEDGER, ledger)])
+
+
+def change_log(state: DataFrame, key: str, watched: Sequence[str]) -> DataFrame:
+    """One row per step and watched field that it changed: key, captured, field, before, after."""
+    differ = ", ".join(
+        f"CASE WHEN NOT (steps[i].w.`{w}` <=> a.w.`{w}`) THEN named_struct('captured', a.day, 'field', '{w}', 'before', cast(steps[i].w.`{w}` AS STRING), 'after', cast(a.w.`{w}` AS STRING)) END"
+        for w in watched
     )
-    return after.select(key, "__row.*", "first_seen", "last_seen", "captures"), log.select(key, "captured", "c.field", "c.before", "c.after")
+    found = f"flatten(transform(slice(steps, 2, size(steps) - 1), (a, i) -> array({differ})))"
+    return state.where("size(steps) > 1").selectExpr(f"`{key}`", f"explode(filter({found}, x -> x IS NOT NULL)) AS c").select(key, "c.*")
 
 
 def disappeared(archive: DataFrame, last_capture: Column, start: str) -> DataFrame:

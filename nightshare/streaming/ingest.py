@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from nightshare.plans import archive as ar
 from nightshare.sources.writers import append_log, write_partition
+from nightshare.streaming.archive import apply_batch, read_archive, read_changes  # noqa: F401  (part of this module's interface)
 
 
 def ingest_snapshots(
@@ -30,52 +30,19 @@ def ingest_snapshots(
     return source.withColumn("landed", F.md5("_metadata.file_path")).writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def _finished_versions(spark: SparkSession, root: str) -> dict[tuple[str, int], int]:
-    """(run, batch) -> archive version with a finished write. Lists folder names only."""
-    jvm = spark._jvm
-    base = jvm.org.apache.hadoop.fs.Path(root)
-    fs = base.getFileSystem(spark._jsc.hadoopConfiguration())
-    found = {}
-    for st in fs.listStatus(base) if fs.exists(base) else []:
-        parts = st.getPath().getName().split("_")
-        if len(parts) == 3 and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            found[parts[1], int(parts[2])] = int(parts[0].removeprefix("v"))
-    return found
-
-
-def _version_path(root: str, found: dict[tuple[str, int], int], version: int) -> str:
-    run, epoch = next(k for k, v in found.items() if v == version)
-    return f"{root}/archive/v{version}_{run}_{epoch}"
-
-
-def read_archive(spark: SparkSession, root: str) -> DataFrame | None:
-    found = _finished_versions(spark, f"{root}/archive")
-    return spark.read.parquet(_version_path(root, found, max(found.values()))) if found else None
-
-
 def archive_changes(
     source: DataFrame, root: str, checkpoint: str, key: str, watched: Sequence[str], day: str = "captured"
 ) -> StreamingQuery:
-    """Keep a keyed archive and a change log up to date from captures that land as files.
+    """Keep a keyed archive and its change log up to date from captures that land as files.
 
-    All captures of a micro-batch count one by one, so the outcome does not depend on when the job
-    runs. A batch writes the version after the highest finished one, under the id of its
-    streaming query and its number; a batch that is run again finds its own version finished, or
-    starts from the same state. A new checkpoint on an old root goes on from the old archive.
-    The log is partitioned by run and batch and replaced by them for the same reason.
+    Archive and log are those of the set of captures that have landed, whatever batches they came in:
+    captures that land again, late, out of order or under a new checkpoint change nothing else (see
+    :mod:`nightshare.streaming.archive`). A batch that is run again finds itself in the commits.
     """
 
     def load(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        run = (spark.sparkContext.getLocalProperty("sql.streaming.queryId") or hashlib.md5(checkpoint.encode()).hexdigest()).replace("-", "")
-        found = _finished_versions(spark, f"{root}/archive")
-        if (run, epoch) in found or batch.isEmpty():
-            return
-        last = max(found.values(), default=-1)
-        before = spark.read.parquet(_version_path(root, found, last)) if found else None
-        after, log = ar.fold(before, batch, key, watched, day)
-        write_partition(log.withColumns({"run": F.lit(run), "epoch": F.lit(epoch)}), f"{root}/changes", ["run", "epoch"])
-        after.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{root}/archive/v{last + 1}_{run}_{epoch}")
+        run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or hashlib.md5(checkpoint.encode()).hexdigest()
+        apply_batch(batch, root, run.replace("-", ""), epoch, key, watched, day)
 
     return source.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

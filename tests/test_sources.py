@@ -187,7 +187,7 @@ def test_stream_archive_over_split_captures(spark, tmp_path):
         2: ("b", "2025-01-01", "2025-01-01", 1),
         3: ("c", "2025-02-01", "2025-02-01", 1),
     }
-    log = [(r["id"], r["field"], r["before"], r["after"]) for r in spark.read.parquet(f"{root}/changes").collect()]
+    log = [(r["id"], r["field"], r["before"], r["after"]) for r in st.read_changes(spark, root).collect()]
     assert log == [(1, "name", "a", "a2")]
 
 
@@ -201,7 +201,7 @@ def test_archive_does_not_depend_on_batches(spark, tmp_path, runs):
         st.archive_changes(spark.readStream.schema(schema).parquet(landing), root, str(tmp_path / "cp"), "id", ["name"]).awaitTermination()
     got = {r["id"]: (r["name"], str(r["first_seen"]), str(r["last_seen"]), r["captures"]) for r in st.read_archive(spark, root).collect()}
     assert got == {1: ("a3", "2025-01-01", "2025-03-01", 3), 2: ("b", "2025-01-01", "2025-01-01", 1), 3: ("c", "2025-03-01", "2025-03-01", 1)}
-    log = sorted((str(r["captured"]), r["id"], r["before"], r["after"]) for r in spark.read.parquet(f"{root}/changes").collect())
+    log = sorted((str(r["captured"]), r["id"], r["before"], r["after"]) for r in st.read_changes(spark, root).collect())
     assert log == [("2025-02-01", 1, "a", "a2"), ("2025-03-01", 1, "a2", "a3")]
 
 
