@@ -185,10 +185,10 @@ def _(s, d):
     JOIN (SELECT id, median(unit_price) AS ref FROM lines WHERE month(snapshot) BETWEEN 3 AND 6 GROUP BY id) USING (id) GROUP BY flag, snapshot HAVING count(*) >= 50""",
 )
 def _(s, d):
-    from nightshare.operators.prefix import group_quantiles
+    from nightshare.operators.prefix import small_group_quantiles
 
     ln = v.lines(s, d)
-    ref = group_quantiles(ln.where(F.month("snapshot").between(3, 6)), ["id"], "unit_price", {"reference_price": 0.5})
+    ref = small_group_quantiles(ln.where(F.month("snapshot").between(3, 6)), ["id"], "unit_price", {"reference_price": 0.5})
     out = inc.price_index(ln, ref, "flag", price="unit_price")
     return out.withColumn("index", F.round("index", 8))
 

@@ -2,9 +2,13 @@
 
 A window over the group key alone would sort a hot group in one task, and the
 built-in exact percentile would keep all its values in one map. Here values are
-counted first and cut into slices of about three per cent width by a fixed rising
-function of the value. Slice totals are a small table; only the slices that hold
-a wanted rank go on, and each is ranked by itself.
+counted first. A mergeable KLL sketch per group gives bounds that cut its distinct values
+into slices of nearly equal size, however narrow they lie. Slice totals are a small table; only the
+slices that hold a wanted rank go on, and each is ranked by itself. The sketch decides
+how the work is dealt, never the answer: any bounds give the same exact quantiles.
+
+Where every group is small by its nature (the captures of one listing), :func:`small_group_quantiles`
+does the same with the built-in percentile in one aggregate.
 """
 
 from __future__ import annotations
@@ -16,8 +20,9 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SLICES_PER_E = 32
-FINEST = 1048576.0
+#: Slices per group: a row of bounds is searched in two steps of ``STEP``. Size of a sketch (its rank error is about 0.3 %).
+STEP, SKETCH = 16, 1024
+SLICES = STEP * STEP
 
 
 def attach(df: DataFrame, totals: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
@@ -28,32 +33,34 @@ def attach(df: DataFrame, totals: DataFrame, keys: Sequence[str], how: str = "le
     return df.join(right, cond, how).select(*df.columns, *rest)
 
 
-def slice_of(value: Column) -> Column:
-    """A slice number that never falls as the value rises: logarithmic in size, on both sides of zero.
+def _bounds(counts: DataFrame) -> DataFrame:
+    """Per group ``SLICES - 1`` rising bounds between its slices; null where no value is a number."""
+    # The count is asked for so that this branch and the ranking share one shuffle of the counts.
+    numbers = counts.where("__n >= 0").selectExpr("__key AS __of", "CAST(__v AS DOUBLE) AS __x").where("NOT isnan(__x)")
+    sketches = numbers.groupBy("__of").agg(F.expr(f"kll_sketch_agg_double(__x, {SKETCH})").alias("__s"))
+    ranks = ", ".join(f"{i / SLICES}D" for i in range(1, SLICES))
+    return sketches.selectExpr("__of", f"kll_sketch_get_quantile_double(__s, array({ranks})) AS __b")
 
-    No group can have more than about 50 000 slices whatever its size, since the
-    logarithm of a double is bounded.
-    """
-    v = value.cast("double")
-    # NaN counts as the largest value, as it does in Spark's own order.
-    return F.when(F.isnan(v), F.lit(2**63 - 1)).otherwise(F.floor(F.signum(v) * F.log1p(F.abs(v) * FINEST) * SLICES_PER_E))
+
+def slice_of(value: str, bounds: str) -> tuple[str, str]:
+    """SQL for the number of bounds below a value, first in whole steps (__c), then all; it never falls as the value rises, NaN being the largest."""
+    v = f"CAST({value} AS DOUBLE)"
+    coarse = " + ".join(f"IF({v} > {bounds}[{STEP * i - 1}], {STEP}, 0)" for i in range(1, STEP))
+    fine = " + ".join(f"IF({v} > {bounds}[__c + {i}], 1, 0)" for i in range(STEP - 1))
+    return f"IF({bounds} IS NULL, 0, {coarse})", f"IF({bounds} IS NULL, 0, __c + {fine})"
 
 
-def _by_slice(counts: DataFrame) -> DataFrame:
-    """Counts laid out by (group, slice). Slice totals, the join and the ranking all use this one layout."""
-    sliced = counts.withColumn("__slice", slice_of(F.col("__v")))
-    # The join would add this test on one side only, and the two users could no longer share the layout.
-    return sliced.where("__v IS NOT NULL AND __slice IS NOT NULL").repartition("__key", "__slice")
+def _sliced(counts: DataFrame) -> DataFrame:
+    """Counts (__key, __v, __n and more) with the slice of their group that the value falls into."""
+    coarse, fine = slice_of("__v", "__b")
+    counts = counts.where("__n >= 0")
+    joined = counts.join(_bounds(counts), F.col("__key") == F.col("__of"), "left")
+    return joined.selectExpr("*", f"{coarse} AS __c").selectExpr("*", f"{fine} AS __slice").drop("__of", "__b", "__c")
 
 
 def _slice_totals(sliced: DataFrame) -> DataFrame:
     """Per slice the weight in it, the weight below it and the total of its group."""
-    # The largest value is asked for so that both users of the layout need the same columns and share one shuffle.
-    per_slice = (
-        sliced.groupBy("__key", "__slice")
-        .agg(F.expr("sum(__n) AS __w"), F.expr("max(__v) AS __top"))
-        .where("__top IS NOT NULL")
-    )
+    per_slice = sliced.groupBy("__key", "__slice").agg(F.expr("sum(__n) AS __w"))
     return per_slice.selectExpr(
         "__key",
         "__slice",
@@ -64,11 +71,7 @@ def _slice_totals(sliced: DataFrame) -> DataFrame:
 
 
 def _rank_inside(sliced: DataFrame, slices: DataFrame) -> DataFrame:
-    """Rows of the given slices with the weight of all smaller values of their group.
-
-    With one group per listing the slice table is about as long as the counts, so the
-    kind of join is left to the engine.
-    """
+    """Rows of the given slices with the weight of all smaller values of their group."""
     joined = sliced.join(slices, ["__key", "__slice"])
     return joined.selectExpr(
         "*",
@@ -85,7 +88,9 @@ def _group(keys: Sequence[str]) -> Column:
 def prefix_sums(df: DataFrame, keys: Sequence[str], value: str, weight: str) -> DataFrame:
     """For rows unique on (keys, value): add ``before`` (weight at smaller values) and ``total`` per group."""
     kept = [c for c in df.columns if c not in (*keys, value, weight)]
-    sliced = _by_slice(df.select(_group(keys), F.col(value).alias("__v"), F.col(weight).alias("__n"), *kept))
+    # One row per value already; the counting only lays the rows out evenly, whatever the groups.
+    rows = df.select(_group(keys), F.col(value).alias("__v"), F.col(weight).alias("__n"), *kept).where("__v IS NOT NULL")
+    sliced = _sliced(rows.repartition("__key", "__v"))
     ranked = _rank_inside(sliced, _slice_totals(sliced))
     return ranked.select(
         *[F.col(f"__key.{k}").alias(k) for k in keys],
@@ -115,7 +120,7 @@ def group_quantiles(
     keys = list(keys)
     w = F.expr(f"CAST({f'`{weight}`' if weight else '1'} AS BIGINT) AS __w")
     src = df.select(_group(keys), _col(value).alias("__v"), w).where("__v IS NOT NULL")
-    sliced = _by_slice(src.groupBy("__key", "__v").agg(F.expr("sum(__w) AS __n")))
+    sliced = _sliced(src.groupBy("__key", "__v").agg(F.expr("sum(__w) AS __n")))
     probs = [float(p) for p in quantiles.values()]
     if interpolate:
         ranks = [f"{side}({p}D * (total - 1))" for p in probs for side in ("floor", "ceil")]
@@ -146,6 +151,17 @@ def group_quantiles(
     )
 
 
+def small_group_quantiles(df: DataFrame, keys: Sequence[str], value: Column | str, quantiles: dict[str, float], count_as: str | None = None) -> DataFrame:
+    """:func:`group_quantiles` for groups that the caller knows to be small, such as the captures of one listing.
+
+    One aggregate with the built-in percentile; all values of a group are held in memory.
+    """
+    src = df.select(*keys, _col(value).alias("__v")).where("__v IS NOT NULL")
+    probs = ", ".join(f"{float(p)}D" for p in quantiles.values())
+    out = src.groupBy(*keys).agg(F.expr(f"percentile(__v, array({probs}))").alias("__q"), F.count(F.lit(1)).alias("__n"))
+    return out.select(*keys, *[F.col("__q")[i].alias(name) for i, name in enumerate(quantiles)], *([F.col("__n").alias(count_as)] if count_as else []))
+
+
 def many_quantiles(
     df: DataFrame,
     keys: Sequence[str],

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nightshare.functions.cleaning import parse_price_strict, suppress
-from nightshare.operators.prefix import group_quantiles, many_quantiles
+from nightshare.operators.prefix import group_quantiles, many_quantiles, small_group_quantiles
 
 LEAST_CELL = 10
 
@@ -23,9 +23,9 @@ def with_scenarios(df: DataFrame, scenarios: Mapping[str, Mapping[str, float]])
 
 
 def reference_price(listings: DataFrame, snapshots: Sequence | None = None, key: str = "id", price: str = "price", snapshot: str = "snapshot") -> DataFrame:
-    """Median valid price per listing over the chosen captures; ``price`` is raw text."""
+    """Median valid price per listing over the chosen captures, of which a listing has few; ``price`` is raw text."""
     src = listings if snapshots is None else listings.where(F.col(snapshot).isin(*snapshots))
-    return group_quantiles(src, [key], parse_price_strict(F.col(price)), {"reference_price": 0.5})
+    return small_group_quantiles(src, [key], parse_price_strict(F.col(price)), {"reference_price": 0.5})
 
 
 def with_income(df: DataFrame, occupancy: str = "occ", price: str = "price") -> DataFrame:

@@ -274,7 +274,7 @@ def dim_listing(spark: SparkSession, folder: str) -> DataFrame:
 
 def listing_income(spark: SparkSession, folder: str) -> DataFrame:
     """One row per listing with price, occupancy and monthly income, ready for zone and peer analyses."""
-    from nightshare.operators.prefix import group_quantiles
+    from nightshare.operators.prefix import small_group_quantiles
 
     ln = lines(spark, folder)
     base = ln.groupBy("id").agg(
@@ -283,7 +283,7 @@ def listing_income(spark: SparkSession, folder: str) -> DataFrame:
         F.min("stay_nights").alias("min_nights"),
         F.min("host_id").alias("host_id"),
     )
-    price = group_quantiles(ln, ["id"], "unit_price", {"price": 0.5})
+    price = small_group_quantiles(ln, ["id"], "unit_price", {"price": 0.5})
     return (
         base.join(price, "id")
         .join(parts(spark, folder), "id")

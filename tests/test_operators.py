@@ -41,16 +41,20 @@ def test_quantiles_without_keys_and_all_null_group(spark):
     assert pf.group_quantiles(df, [], "v", {"m": 0.5}).first()["m"] == 2.5
 
 
+def slices(df):
+    """Value and slice of every row of (k, v)."""
+    return pf._sliced(df.select(F.struct("k").alias("__key"), F.col("v").alias("__v"), F.lit(1).alias("__n"))).select(F.col("__key.k").alias("k"), F.col("__v").alias("v"), F.col("__slice").alias("s"))
+
+
 def test_slices_never_fall(spark):
-    xs = sorted([-1e300, -7.0, -1e-30, -0.0, 0.0, 1e-30, 1e-9, 0.1, 0.1000001, 1.0, 99.99, 100.0, 1e300] + [random.Random(2).uniform(-1e4, 1e4) for _ in range(500)])
-    df = spark.createDataFrame([(x,) for x in xs], "v double").select("v", pf.slice_of(F.col("v")).alias("s"))
-    got = [r["s"] for r in sorted(df.collect(), key=lambda r: r["v"])]
-    assert got == sorted(got)
+    xs = sorted([-1e300, -7.0, -1e-30, -0.0, 0.0, 1e-30, 1e-9, 0.1, 0.1000001, 1.0, 99.99, 100.0, 1e300, float("inf")] + [random.Random(2).uniform(-1e4, 1e4) for _ in range(500)])
+    got = [r["s"] for r in sorted(slices(spark.createDataFrame([("a", x) for x in xs], "k string, v double")).collect(), key=lambda r: r["v"])]
+    assert got == sorted(got) and got[-1] > 200
 
 
 def test_hot_group_is_spread_over_slices(spark):
     df = spark.range(20000).select(F.lit("hot").alias("k"), (F.rand(3) * 5000 + 20).alias("v"))
-    assert df.groupBy(pf.slice_of(F.col("v"))).count().agg(F.max("count")).first()[0] < 20000 * 0.05
+    assert slices(df).groupBy("s").count().agg(F.max("count")).first()[0] < 20000 * 0.02
 
 
 def test_prefix_sums(spark):
@@ -229,6 +233,34 @@ def test_quantiles_with_nan_and_infinity(spark):
     assert repr(got["n"]) == repr(want["n"]) and got["i"] == (1.0, float("inf"))
 
 
+@pytest.mark.parametrize("weighted", [False, True])
+def test_hot_narrow_group_is_spread_and_exact(spark, weighted):
+    """A group with nearly all rows, all within a thousandth, beside small ones: even slices, quantiles as the built-in ones."""
+    df = spark.range(120000).select(
+        F.when(F.col("id") % 50 == 0, F.col("id") % 7).otherwise(99).alias("k"),
+        F.when(F.col("id") % 1000 == 1, float("nan")).when(F.col("id") % 1000 == 2, float("inf")).otherwise(100 + F.pmod(F.xxhash64("id"), F.lit(30011)) / 1e6).alias("v"),
+        (F.col("id") % 3 + 1).alias("w"),
+    )
+    qs = {"a": 0.0, "b": 0.013, "c": 0.5, "d": 0.75, "e": 0.998, "f": 1.0}
+    got = {r["k"]: r for r in pf.group_quantiles(df, ["k"], "v", qs, "n", weight="w" if weighted else None).collect()}
+    p = f"array({', '.join(f'{x}D' for x in qs.values())})"
+    want = df.groupBy("k").agg(F.expr(f"percentile(v, {p}{', w' if weighted else ''})").alias("q"), F.sum("w" if weighted else F.lit(1)).alias("n")).collect()
+    for r in want:
+        assert got[r["k"]]["n"] == r["n"]
+        for name, x in zip(qs, r["q"]):
+            assert repr(got[r["k"]][name]) == repr(x) or got[r["k"]][name] == pytest.approx(x, rel=1e-14)
+    counts = df.select(F.struct("k").alias("__key"), F.col("v").alias("__v")).groupBy("__key", "__v").agg(F.expr("count(1) AS __n"))
+    sizes = [r["count"] for r in pf._sliced(counts).where("__key.k = 99").groupBy("__slice").count().collect()]
+    assert len(sizes) > 200 and max(sizes) < 4 * sum(sizes) / len(sizes)
+
+
+def test_small_group_quantiles_equal_the_general_ones(spark):
+    df = spark.range(3000).select((F.col("id") % 40).alias("k"), F.when(F.col("id") % 11 > 0, F.pmod(F.xxhash64("id"), F.lit(17)).cast("double")).alias("v"))
+    a, b = (f(df.where("k <> 3 or v is null"), ["k"], "v", {"m": 0.5, "t": 0.9}, "n") for f in (pf.group_quantiles, pf.small_group_quantiles))
+    a, b = (np.array(sorted(map(tuple, x.collect()))) for x in (a, b))
+    assert len(a) == 39 and np.allclose(a, b, rtol=1e-14)
+
+
 def test_accents_beyond_western_letters(spark):
     from nightshare.functions.text import text_key
 
