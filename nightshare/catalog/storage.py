@@ -32,18 +32,57 @@ def _(s, d):
     """SELECT CAST(listing_id AS VARCHAR) AS listing_id, CAST(night AS VARCHAR) AS date, CASE WHEN taken = 1 THEN 'f' ELSE 't' END AS available, CAST(lead AS VARCHAR) AS minimum_nights FROM nights""",
 )
 def _(s, d):
+    """Older files with the two empty price columns and newer ones without them, read together."""
     path = shared_dir(s, "src02")
-    n = v.nights(s, d)
-    wr.write_csv(
-        n.select(
-            "listing_id", col("night").alias("date"), F.when(col("taken") == 1, "f").otherwise("t").alias("available"),
-            F.lit("").alias("price"), F.lit("").alias("adjusted_price"), col("lead").alias("minimum_nights"), F.lit(1125).alias("maximum_nights"),
-        ),
-        path,
+    n = v.nights(s, d).select(
+        "city", "listing_id", col("night").alias("date"), F.when(col("taken") == 1, "f").otherwise("t").alias("available"),
+        F.lit("").alias("price"), F.lit("").alias("adjusted_price"), col("lead").alias("minimum_nights"), F.lit(1125).alias("maximum_nights"),
     )
+    wr.write_csv(n.where("city = 0").drop("city"), f"{path}/old")
+    wr.write_csv(n.where("city <> 0").select("date", "listing_id", "available", "minimum_nights", "maximum_nights"), f"{path}/new")
     return rd.read_calendar(s, path).select("listing_id", "date", "available", "minimum_nights")
 
 
+def json_arrays(s, rows, path, files=16):
+    """The rows as JSON arrays in ``files`` files, dealt by the hash of the row; the last element of each array is null."""
+    bucket = F.pmod(F.xxhash64(*rows.columns), F.lit(files))
+    lines = rows.select(bucket.alias("bucket"), F.lit(1).alias("turn"), F.concat(F.to_json(F.struct(*rows.columns)), F.lit(",")).alias("value"))
+    edges = s.range(files).select(col("id").alias("bucket"), F.explode(F.array(F.struct(F.lit(0).alias("turn"), F.lit("[").alias("value")), F.struct(F.lit(2).alias("turn"), F.lit("null]").alias("value")))).alias("e"))
+    both = lines.unionByName(edges.select("bucket", "e.turn", "e.value"))
+    both.repartition("bucket").sortWithinPartitions("bucket", "turn").drop("turn").write.partitionBy("bucket").text(path)
+
+
+@query(
+    "src03_read_worklist",
+    "SELECT o_orderstatus AS city, 'r' || o_custkey AS route, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS date, 'data/' || o_orderkey || '/calendar.csv.gz' AS file FROM orders WHERE o_orderkey % 3 = 0",
+)
+def _(s, d):
+    path = shared_dir(s, "src03")
+    kind = F.when(col("o_orderkey") % 3 == 0, "calendar").otherwise("listings")
+    rows = v.table(s, d, "orders").select(
+        col("o_orderstatus").alias("ciudad"), F.concat(F.lit("r"), "o_custkey").alias("ruta"), F.to_date("o_orderdate").cast("string").alias("fecha"),
+        F.concat(F.lit("data/"), "o_orderkey", F.lit("/"), kind, F.lit(".csv.gz")).alias("ruta_fichero"),
+    )
+    json_arrays(s, rows, path)
+    return rd.read_worklist(s, path, "calendar")
+
+
+@query(
+    "src07_read_registry",
+    """SELECT CAST(doc_id AS VARCHAR) AS "Nregistro", md5(text) AS text_md5, CAST(DATE '2020-01-01' + CAST(doc_id % 900 AS INT) AS DATE) AS registered, lpad(CAST(doc_id % 53 AS VARCHAR), 2, '0') || lpad(CAST(doc_id % 997 AS VARCHAR), 3, '0') AS municipality_code FROM documents""",
+)
+def _(s, d):
+    """Texts with quotes, brackets and backslashes inside; contact fields stay behind."""
+    path = shared_dir(s, "src07")
+    rows = v.docs(s, d).select(
+        col("doc_id").cast("string").alias("Nregistro"), col("text").alias("Nombre"), F.date_format(F.date_add(F.lit("2020-01-01").cast("date"), (col("doc_id") % 900).cast("int")), "dd/MM/yyyy").alias("registered"),
+        (col("doc_id") % 53).cast("string").alias("Provincia"), (col("doc_id") % 997).cast("string").alias("Municipio"), F.lit("x@y.eu").alias("Email"),
+    )
+    json_arrays(s, rows, path)
+    out = rd.read_registry(s, path, ["Nregistro", "Nombre", "registered", "Provincia", "Municipio", "Email"], ["registered"], "Provincia", "Municipio", private=["Email"])
+    return out.select("Nregistro", F.md5("Nombre").alias("text_md5"), "registered", "municipality_code")
+
+
 @query(
     "src04_conform",
     "SELECT id, TRY_CAST(replace(replace(price_text, '$', ''), ',', '') AS DOUBLE) AS price, TRY_CAST(name AS DATE) AS name, CAST(NULL AS DOUBLE) AS beds FROM parts",
@@ -73,6 +112,19 @@ def _(s, d):
     return out.select("city", "period", F.round("value", 6).alias("value"))
 
 
+@query("src05_wide_files", "SELECT city, period, round(adr, 6) AS value FROM monthly WHERE n > 1")
+def _(s, d):
+    """Wide files, each with period columns of its own, read together."""
+    path = shared_dir(s, "src05")
+    m = v.monthly(s, d)
+    cell = F.when(col("n") > 1, col("adr").cast("string")).otherwise("..")
+    for first in (1995, 1999):
+        part = [f"{y}-{i:02d}" for y in range(first, min(first + 4, 2002)) for i in range(1, 13)]
+        wide = m.where(col("period").isin(*part)).groupBy("city").pivot("period", part).agg(F.max(cell))
+        wide.write.option("header", True).option("encoding", "ISO-8859-1").csv(f"{path}/{first}")
+    return rd.read_wide_series(s, path, ["city"]).select("city", "period", F.round("value", 6).alias("value"))
+
+
 @query("src06_read_long_series", "SELECT CAST(o_orderkey AS VARCHAR) AS level, strftime(o_orderdate, '%Y-%m') AS period, o_totalprice AS value FROM orders")
 def _(s, d):
     path = shared_dir(s, "src06")
@@ -141,6 +193,17 @@ def _(s, d):
     return out.select("name", "measure", "period", F.round("value", 6).alias("value"))
 
 
+@query(
+    "src11_stat_api_files",
+    "SELECT city || ' occupancy' AS name, 'occupancy' AS measure, period, round(occ, 6) AS value FROM monthly WHERE n > 1",
+)
+def _(s, d):
+    path = shared_dir(s, "src11")
+    point = F.struct(col("year").alias("Anyo"), col("month").alias("FK_Periodo"), F.when(col("n") > 1, col("occ")).alias("Valor"))
+    json_arrays(s, v.monthly(s, d).select(F.concat(col("city"), F.lit(" occupancy")).alias("Nombre"), F.array(point).alias("Data")), path)
+    return rd.read_stat_api_json(s, path, {"occupancy": "occupancy"}).select("name", "measure", "period", F.round("value", 6).alias("value"))
+
+
 @query(
     "qa13_schema_drift",
     """SELECT "column", CAST(files AS BIGINT) AS files, in_all FROM (VALUES ('id', 2, true), ('zone', 2, true), ('price_text', 1, false), ('name', 1, false)) t("column", files, in_all) WHERE (SELECT count(*) FROM parts) > 0""",

@@ -8,21 +8,52 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from nightshare.sources.files import file_heads, read_json_objects, read_named_csv
+
 # The input columns by type.
 LISTING_LONGS = (
-    "id host_id accommodates availability_30 availability_60 availability_90 availability_365 number_of_reviews "
-    "number_of_reviews_ltm number_of_reviews_l30d calculated_host_listings_count calculated_host_listings_count_entire_homes "
-    "calculated_host_listings_count_private_rooms calculated_host_listings_count_shared_rooms estimated_occupancy_l365d"
-).split()
+    "id",
+    "host_id",
+    "accommodates",
+    "availability_30",
+    "availability_60",
+    "availability_90",
+    "availability_365",
+    "number_of_reviews",
+    "number_of_reviews_ltm",
+    "number_of_reviews_l30d",
+    "calculated_host_listings_count",
+    "calculated_host_listings_count_entire_homes",
+    "calculated_host_listings_count_private_rooms",
+    "calculated_host_listings_count_shared_rooms",
+    "estimated_occupancy_l365d",
+)
 LISTING_DOUBLES = (
-    "latitude longitude bathrooms bedrooms beds minimum_nights maximum_nights review_scores_rating review_scores_location "
-    "review_scores_value reviews_per_month estimated_revenue_l365d"
-).split()
-LISTING_DATES = "last_scraped calendar_last_scraped first_review last_review".split()
+    "latitude",
+    "longitude",
+    "bathrooms",
+    "bedrooms",
+    "beds",
+    "minimum_nights",
+    "maximum_nights",
+    "review_scores_rating",
+    "review_scores_location",
+    "review_scores_value",
+    "reviews_per_month",
+    "estimated_revenue_l365d",
+)
+LISTING_DATES = ("last_scraped", "calendar_last_scraped", "first_review", "last_review")
 LISTING_STRINGS = (
-    "neighbourhood_cleansed neighbourhood_group_cleansed property_type room_type price license has_availability host_is_superhost"
-).split()
-CALENDAR_COLUMNS = "listing_id date available minimum_nights maximum_nights".split()
+    "neighbourhood_cleansed",
+    "neighbourhood_group_cleansed",
+    "property_type",
+    "room_type",
+    "price",
+    "license",
+    "has_availability",
+    "host_is_superhost",
+)
+CALENDAR_COLUMNS = ("listing_id", "date", "available", "minimum_nights", "maximum_nights")
 
 
 def allow_only(df: DataFrame, allowed: Sequence[str], private: Sequence[str] = ()) -> DataFrame:
@@ -45,39 +76,19 @@ def read_quoted_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
 
 
-def read_listings(spark: SparkSession, path: str | list[str], same_header: bool = False) -> DataFrame:
-    """Raw listings as text, the declared columns only.
-
-    Columns drift between captures, and CSV columns are found by position, so files are read
-    together with those of the same header. There are as many reads as header versions, not as
-    files. ``same_header`` saves the look at the headers.
-    """
-    paths = [path] if isinstance(path, str) else list(path)
-    if same_header:
-        groups = [paths]
-    else:
-        versions = _first_lines(spark, paths).groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths"))
-        # File names and header lines only; the driver lists these files for the read anyway.
-        groups = [list(r["paths"]) for r in versions.orderBy("header").collect()]
-    wanted = [*LISTING_LONGS, *LISTING_DOUBLES, *LISTING_DATES, *LISTING_STRINGS]
-    out = None
-    for files in groups:
-        df = read_quoted_csv(spark, files)
-        df = df.select(*[(F.col(c) if c in df.columns else F.lit(None).cast("string")).alias(c) for c in wanted])
-        out = df if out is None else out.unionByName(df)
-    return out
+def read_listings(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Raw listings as text, the declared columns only, whatever columns a capture's file has."""
+    return read_named_csv(spark, path, [*LISTING_LONGS, *LISTING_DOUBLES, *LISTING_DATES, *LISTING_STRINGS], quoted=True).drop("file")
 
 
 def read_calendar(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Raw calendar as text: the five columns all files share."""
-    df = spark.read.option("header", True).csv(path)
-    return df.select(*[F.col(c) for c in CALENDAR_COLUMNS])
+    """Raw calendar as text: the five columns all files share. Files with and without the price columns may be mixed."""
+    return read_named_csv(spark, path, CALENDAR_COLUMNS).drop("file")
 
 
-def read_worklist(spark: SparkSession, path: str, kind: str | None = None) -> DataFrame:
+def read_worklist(spark: SparkSession, path: str | list[str], kind: str | None = None) -> DataFrame:
     """Rows of the flat work list, optionally of one file kind such as ``calendar``."""
-    schema = "ciudad string, ruta string, fecha string, ruta_fichero string"
-    df = spark.read.schema(schema).option("multiLine", True).json(path)
+    df = read_json_objects(spark, path, "ciudad string, ruta string, fecha string, ruta_fichero string")
     df = df.select(
         F.col("ciudad").alias("city"), F.col("ruta").alias("route"), F.col("fecha").alias("date"), F.col("ruta_fichero").alias("file")
     )
@@ -94,13 +105,11 @@ def wide_to_long(df: DataFrame, dims: Sequence[str], pattern: str = r"^\d{4}-\d{
     return long.withColumn("value", F.col("raw").try_cast("double")).drop("raw").where(F.col("value").isNotNull())
 
 
-def read_wide_series(spark: SparkSession, paths: Sequence[str], dims: Sequence[str], encoding: str = "ISO-8859-1") -> DataFrame:
-    """Wide part files, each with its own period columns, as one long table."""
-    out = None
-    for p in paths:
-        part = wide_to_long(spark.read.option("header", True).option("encoding", encoding).csv(p), dims)
-        out = part if out is None else out.unionByName(part)
-    return out
+def read_wide_series(spark: SparkSession, paths: str | Sequence[str], dims: Sequence[str], encoding: str = "ISO-8859-1", pattern: str = r"^\d{4}-\d{2}$") -> DataFrame:
+    """Wide part files, each with its own period columns, as one long table; cells that are not numbers are dropped."""
+    wide = read_named_csv(spark, paths, dims, quoted=True, encoding=encoding, rest=pattern)
+    long = wide.select(*[F.col(f"`{c}`") for c in dims], F.explode("cells").alias("period", "raw"))
+    return long.withColumn("value", F.col("raw").try_cast("double")).drop("raw").where(F.col("value").isNotNull())
 
 
 def european_number(text: Column) -> Column:
@@ -127,7 +136,7 @@ def read_registry(
     """Register of dwellings: text objects with absent keys; contact fields are never loaded."""
     wanted = [f for f in fields if f not in private]
     schema = T.StructType([T.StructField(f, T.StringType()) for f in wanted])
-    df = spark.read.schema(schema).option("multiLine", True).json(path)
+    df = read_json_objects(spark, path, schema)
     for c in dates:
         df = df.withColumn(c, F.try_to_date(F.col(c), "dd/MM/yyyy"))
     return df.withColumn("municipality_code", F.concat(F.lpad(province, 2, "0"), F.lpad(municipality, 3, "0")))
@@ -147,26 +156,10 @@ def list_landed(spark: SparkSession, root: str) -> DataFrame:
     return landed_files(spark, root).select("city", "date", "file")
 
 
-def _first_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Line count and first line of every text file; only the block at offset 0 can hold the first line."""
-    lines = spark.read.option("recursiveFileLookup", True).text(path).select(
-        F.col("_metadata.file_path").alias("path"),
-        "value",
-        F.col("_metadata.file_block_start").alias("at"),
-        F.monotonically_increasing_id().alias("i"),
-    )
-    return lines.groupBy("path").agg(
-        F.count(F.lit(1)).alias("lines"), F.min_by("value", F.struct("at", "i")).alias("header")
-    )
-
-
 def file_manifest(spark: SparkSession, root: str) -> DataFrame:
-    """Bytes, digest, rows and header line of every landed text file."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    digests = files.select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
-    return digests.join(_first_lines(spark, root), "path", "left").select(
-        "path", "bytes", "sha256", (F.col("lines") - 1).alias("rows"), "header"
-    )
+    """Bytes, digest, rows and header line of every landed text file; files are read in pieces, whatever their size."""
+    heads = file_heads(spark, root, digest=True)
+    return heads.select("path", "bytes", "sha256", (F.col("lines") - 1).alias("rows"), "header")
 
 
 def read_matches(spark: SparkSession, path: str, home_teams: dict[str, tuple[str, str]]) -> DataFrame:
@@ -206,13 +199,13 @@ def series_rows(nested: DataFrame, measures: dict[str, str]) -> DataFrame:
 
 def read_stat_api_json(spark: SparkSession, path: str, measures: dict[str, str]) -> DataFrame:
     schema = "Nombre string, Data array<struct<Anyo:int,FK_Periodo:int,Valor:double>>"
-    return series_rows(spark.read.schema(schema).option("multiLine", True).json(path), measures)
+    return series_rows(read_json_objects(spark, path, schema), measures)
 
 
-def header_columns(spark: SparkSession, path: str) -> DataFrame:
-    """One row per file and column name, read from the header line."""
+def header_columns(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """One row per file and column name, read from the header line; nothing else of a file is read."""
     return (
-        _first_lines(spark, path)
+        file_heads(spark, path)
         .select("path", F.explode(F.split("header", ",")).alias("column"))
         .withColumn("column", F.btrim(F.col("column"), F.lit('"\r ')))
     )
