@@ -35,11 +35,10 @@ def attach(df: DataFrame, totals: DataFrame, keys: Sequence[str], how: str = "le
 
 def _bounds(counts: DataFrame) -> DataFrame:
     """Per group ``SLICES - 1`` rising bounds between its slices; null where no value is a number."""
-    # The count is asked for so that this branch and the ranking share one shuffle of the counts.
-    numbers = counts.where("__n >= 0").selectExpr("__key AS __of", "CAST(__v AS DOUBLE) AS __x").where("NOT isnan(__x)")
-    sketches = numbers.groupBy("__of").agg(F.expr(f"kll_sketch_agg_double(__x, {SKETCH})").alias("__s"))
+    # A NaN is left out inside the aggregate: a filter would move below the counting, which both users share.
+    sketches = counts.groupBy(F.col("__key").alias("__of")).agg(F.expr(f"kll_sketch_agg_double(nullif(CAST(__v AS DOUBLE), DOUBLE('NaN')), {SKETCH})").alias("__s"))
     ranks = ", ".join(f"{i / SLICES}D" for i in range(1, SLICES))
-    return sketches.selectExpr("__of", f"kll_sketch_get_quantile_double(__s, array({ranks})) AS __b")
+    return sketches.selectExpr("__of", f"CASE WHEN kll_sketch_get_n_double(__s) > 0 THEN kll_sketch_get_quantile_double(__s, array({ranks})) END AS __b")
 
 
 def slice_of(value: str, bounds: str) -> tuple[str, str]:
