@@ -7,5 +7,6 @@ from nightshare.catalog import (  # noqa: F401
     events,
     measures,
     relational,
+    silver,
     storage,
 )

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from nightshare.functions import cleaning as c
 from nightshare.functions import dates as dt
 from nightshare.operators.picks import latest_per_key, seen_span
+from nightshare.operators import quality as qa
 from nightshare.operators.prefix import attach
+from nightshare.sources.writers import write_observed
 
 COMPLETE_RATIO = 0.85
 MIN_PRICED_SHARE = 0.5
@@ -116,3 +118,28 @@ def star(facts: DataFrame, listings: DataFrame, snapshots: DataFrame, dates: Dat
         snapshots.drop("snapshot_id"), ["city", "snapshot_date"], "left"
     )
     return out if dates is None else out.join(dates, out[night] == dates["date"], "left").drop("date")
+
+
+def unmatched_zones(zones: DataFrame, city: str, zone: str, declared: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Declared zones that no zone of the dimension matches by name; the lists are short and fixed."""
+    named = zones.sparkSession.createDataFrame([(a, b) for a, names in declared.items() for b in names], "__city string, __zone string")
+    return named.join(zones, (F.col("__city") == F.col(city).cast("string")) & (F.col("__zone") == F.col(zone)), "left_anti").select(F.col("__city").alias("city"), F.col("__zone").alias("zone"))
+
+
+def load_gold(zones: DataFrame, listings: DataFrame, fact: DataFrame, calendar: DataFrame, root: str, city: str, zone: str, declared: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+    """Dimensions and facts to their tables below ``root``, each published only if its keys are unique. Returns the reports together.
+
+    ``zones`` with the zone names as they are declared; a declared zone that is not found blocks the zone dimension.
+    """
+    missing = unmatched_zones(zones, city, zone, declared or {}).count() if declared else 0
+    reports = [
+        write_observed(zones.withColumn("__missing", F.lit(missing) > 0), f"{root}/dim_zone", {"declared zones found": (qa.BLOCK, F.col("__missing"))}, (), ("zone_id",), ("__missing",)),
+        write_observed(listings, f"{root}/dim_listing", {"listing_id": (qa.BLOCK, qa.not_null(F.col("listing_id")))}, (), ("listing_id",)),
+        write_observed(fact, f"{root}/fact_listing_snapshot", {"snapshot_id": (qa.BLOCK, qa.not_null(F.col("snapshot_id")))}, ("snapshot_id",), ("listing_id", "snapshot_id")),
+        write_observed(calendar, f"{root}/fact_calendar", {"capture missing": (qa.WARN, F.col("capture_missing"))}, ("snapshot_id",)),
+    ]
+    out = None
+    for name, report in zip(("dim_zone", "dim_listing", "fact_listing_snapshot", "fact_calendar"), reports):
+        named = report.select(F.lit(name).alias("table"), "*")
+        out = named if out is None else out.unionByName(named)
+    return out
