@@ -16,6 +16,8 @@ from nightshare.llm.common import saved, whole_groups
 from nightshare.llm.graph import components
 
 SEED, SHINGLE, RADIUS, LANES, TILE = 42, 3, 2, 4096, 2048
+#: Nodes of a slice and leaders of a group where sets are compared; bits of the filter of ids at most (16 MB).
+SLICE, LEADERS, ID_BITS = 512, 32, 1 << 27
 
 
 def shingle_hashes(text: str | None, words: int, seed: int = SEED) -> np.ndarray:
@@ -210,7 +212,7 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return prints.join(labels, F.col("node") == F.col("n")).select("doc_id", "fingerprint", "component_id")
 
 
-def similarity_radius(similarity: float, bits: int, margin: float = 3) -> int:
+def similarity_radius(similarity: float, bits: int, margin: float = 4) -> int:
     """Differing bits of texts of that Jaccard similarity: the expected number and ``margin`` standard deviations more."""
     p = math.acos(2 * similarity / (1 + similarity)) / math.pi
     return math.ceil(bits * p + margin * math.sqrt(bits * p * (1 - p)))
@@ -233,122 +235,153 @@ def _set_prints(docs: DataFrame, id_col: str, text_col: str, shingle: int, seed:
     return docs.select(F.col(id_col).alias("doc_id"), text_col).mapInArrow(run, f"doc_id {id_type}, digest binary, fingerprint binary, keys array<bigint>")
 
 
-def candidate_edges(values: np.ndarray, label: np.ndarray, wrong: list[set[int]], radius: int, more: int = 0) -> list[tuple[int, int]]:
-    """Pairs of rows of different labels within the radius, without the ``wrong`` ones: a forest that connects the labels, and up to ``more`` pairs a row besides."""
-    n = len(values)
-    _, own = np.unique(label, return_inverse=True)
-    root, planes, count, out = np.arange(n), bit_planes(values), np.zeros(n, int), []
-    for shift in range(1, n):
-        group = root[own]
-        mask = (group[: n - shift] != group[shift:]) | ((own[: n - shift] != own[shift:]) & (count[: n - shift] < more) & (count[shift:] < more))
-        if not mask.any():
-            continue
-        alive = within(planes, shift, int.from_bytes(np.packbits(mask, bitorder="little").tobytes(), "little"), radius)
-        for i in np.flatnonzero(np.unpackbits(np.frombuffer(alive.to_bytes((n + 7) // 8, "little"), np.uint8), bitorder="little")).tolist() if alive else []:
-            j = i + shift
-            a, b = root[own[i]], root[own[j]]
-            if j in wrong[i] or a == b and max(count[i], count[j]) >= more:
-                continue
-            if a != b:
-                root[root == max(a, b)] = min(a, b)
-            count[i] += 1
-            count[j] += 1
-            out.append((i, j))
+def id_bits(holders: DataFrame, count: int) -> np.ndarray:
+    """One bit per hash of ``holder``, as bytes; at most ``ID_BITS`` bits however many there are."""
+    bits = min(ID_BITS, 1 << max(15, (16 * count).bit_length()))
+    place = F.pmod(F.xxhash64("holder"), F.lit(bits)) + 1
+    maps = holders.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bitmap"))
+    out = np.zeros(bits // 8, np.uint8)
+    for bucket, bitmap in maps.collect():  # at most ID_BITS bits in all
+        out[(bucket - 1) * 4096 : bucket * 4096] = np.frombuffer(bitmap, np.uint8)[: max(0, len(out) - (bucket - 1) * 4096)]
     return out
 
 
-def _candidates(members: DataFrame, wrong: DataFrame | None, radius: int, more: int, tile: int = TILE) -> DataFrame:
-    """``members`` (bucket, value, node, label) -> pairs (bucket, a, b) to look at, tiled as in bucket_links; pairs in ``wrong`` (a, b) are not asked again."""
-    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").withColumnRenamed("bucket", "k")
-    tiles = F.ceil(F.col("n") / tile)
-    own = F.pmod(F.xxhash64(F.lit("tile"), "node"), tiles)
-    pairs = F.transform(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1), lambda t: F.struct(F.least(t, F.col("own")).alias("lo"), F.greatest(t, F.col("own")).alias("hi")))
-    dealt = members.join(sizes, F.col("bucket") == F.col("k")).withColumn("tiles", tiles).withColumn("own", own)
-    if wrong is None:
-        dealt = dealt.withColumn("not", F.array().cast("array<bigint>"))
-    else:
-        lists = saved(wrong.groupBy(F.col("a").alias("_a")).agg(F.collect_set("b").alias("not")), "wrong-lists")
-        dealt = dealt.join(lists, F.col("node") == F.col("_a"), "left").drop("_a")
-    dealt = dealt.select("bucket", "node", "label", "value", "not", F.inline(pairs))
+def _shingle_sets(docs: DataFrame, id_col: str, text_col: str, holders: DataFrame, shingle: int, seed: int) -> DataFrame:
+    """(node, shingles): the set of shingle hashes of each node of ``holders`` (node, holder).
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in whole_groups(batches, ("bucket", "lo", "hi")):
-            bucket, lo, hi, node, label = (t[c].to_numpy() for c in ("bucket", "lo", "hi", "node", "label"))
-            edges = np.r_[np.flatnonzero(np.r_[True, (bucket[1:] != bucket[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])]), len(bucket)]
-            values = np.frombuffer(b"".join(t["value"].to_pylist()), np.uint8).reshape(t.num_rows, -1)
-            lists, out = t["not"].to_pylist(), []
-            for e in np.flatnonzero(np.diff(edges) > 1).tolist():
-                own_ = slice(int(edges[e]), int(edges[e + 1]))
-                place = {v: i for i, v in enumerate(node[own_].tolist())}
-                no = [set() for _ in place]
-                for i, others in enumerate(lists[own_]):
-                    for j in (place[v] for v in others or () if v in place):
-                        no[min(i, j)].add(max(i, j))
-                out += [(own_.start + i, own_.start + j) for i, j in candidate_edges(values[own_], label[own_], no, radius, more)]
-            if out:
-                at, to = np.array(out).T
-                yield pa.RecordBatch.from_arrays([pa.array(bucket[at]), pa.array(np.minimum(node[at], node[to])), pa.array(np.maximum(node[at], node[to]))], names=["bucket", "a", "b"])
+    Texts stay where they are: a bit filter of the holders' ids says which ones to hash, and only their sets travel.
+    """
+    count = holders.count()
+    sent = docs.sparkSession.sparkContext.broadcast(id_bits(holders, count))  # bounded by ID_BITS
 
-    return dealt.repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi", "node").mapInArrow(run, "bucket bigint, a bigint, b bigint")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = sent.value
+        for batch in batches:
+            place = batch.column(0).to_numpy() % (len(bits) * 8)
+            for i in np.flatnonzero(bits[place >> 3] >> (place & 7).astype(np.uint8) & 1).tolist():
+                h = np.unique(shingle_hashes(batch.column(2)[i].as_py(), shingle, seed)).view(np.int64)
+                digest = hashlib.blake2b(h.tobytes(), digest_size=16).digest()
+                sets = pa.ListArray.from_arrays(pa.array([0, len(h)], pa.int32()), pa.array(h))
+                yield pa.RecordBatch.from_arrays([batch.column(1).slice(i, 1), pa.array([digest], pa.binary()), sets], names=["id", "digest", "shingles"])
 
+    id_type = docs.schema[id_col].dataType.simpleString()
+    hashed = docs.select(F.xxhash64(id_col).alias("h"), F.col(id_col).alias("id"), text_col).mapInArrow(run, f"id {id_type}, digest binary, shingles array<bigint>")
+    # Rows of one id may hold other texts, and a node's holder may stand in several rows.
+    keyed = hashed.select("id", F.xxhash64("digest").alias("n"), "shingles")
+    found = keyed.join(holders, (F.col("n") == F.col("node")) & F.col("id").eqNullSafe(F.col("holder")))
+    return found.groupBy("node").agg(F.first("shingles").alias("shingles"))
+
+
+def shared_counts(sets: list[np.ndarray], others: list[np.ndarray], piece: int = 4096) -> np.ndarray:
+    """Size of the intersection of every set with every other one; values that stand on one side only are not looked at."""
+    a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (sets, others))
+    known = np.intersect1d(a, b)
+    out = np.zeros((len(sets), len(others)), np.float32)
+    rows = [np.repeat(np.arange(len(x)), [len(v) for v in x]) for x in (sets, others)]
+    places = [np.searchsorted(known, v) for v in (a, b)]
+    held = [(p < len(known)) & (known[np.minimum(p, len(known) - 1)] == v) if len(known) else np.zeros(len(v), bool) for p, v in zip(places, (a, b))]
+    rows, places = [r[h] for r, h in zip(rows, held)], [p[h] for p, h in zip(places, held)]
+    for at in range(0, len(known), piece):
+        parts = []
+        for n, r, p in zip((len(sets), len(others)), rows, places):
+            m = np.zeros((n, min(piece, len(known) - at)), np.float32)
+            own = (p >= at) & (p < at + piece)
+            m[r[own], p[own] - at] = 1
+            parts.append(m)
+        out += parts[0] @ parts[1].T
+    return out
 
-def _shingle_sets(texts: DataFrame, shingle: int, seed: int) -> DataFrame:
-    """``texts`` (node, text) -> (node, shingles): the set of shingle hashes, where it is the node's (rows of one id may hold other texts)."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for node, digest, text in zip(*batch.columns, strict=True):
-                h = np.unique(shingle_hashes(text.as_py(), shingle, seed)).view(np.int64)
-                if hashlib.blake2b(h.tobytes(), digest_size=16).digest() != digest.as_py():
-                    continue
-                yield pa.RecordBatch.from_arrays([pa.array([node.as_py()], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(h)], pa.int32()), pa.array(h))], names=["node", "shingles"])
+def exact_links(sets: list[np.ndarray], others: list[np.ndarray], similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs (row of sets, row of others) of that Jaccard similarity or more; two empty sets are alike."""
+    both = shared_counts(sets, others)
+    total = np.array([len(x) for x in sets])[:, None] + np.array([len(x) for x in others])[None, :] - both
+    return np.nonzero(both >= similarity * total)
 
-    return texts.mapInArrow(run, "node bigint, shingles array<bigint>")
 
+def _alike(rows: DataFrame, similarity: float) -> DataFrame:
+    """``rows`` (group, slice, node, label, probe, shingles) -> links (a, b) that connect a slice's nodes with each other and with the probes sent to it."""
 
-def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, parts: int = 8, keys: int = 5, seed: int = SEED) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in whole_groups(batches, ("group", "slice")):
+            group, part, node, label, probe = (t[c].to_numpy() for c in ("group", "slice", "node", "label", "probe"))
+            sets = t["shingles"].combine_chunks()
+            values, bounds = sets.flatten().to_numpy(), np.concatenate([[0], np.cumsum(sets.value_lengths().to_numpy())])
+            own = [values[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+            edges = np.r_[np.flatnonzero(np.r_[True, (group[1:] != group[:-1]) | (part[1:] != part[:-1])]), len(group)]
+            found = []
+            for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist()):
+                left, right = lo + np.flatnonzero(probe[lo:hi] != 1), lo + np.flatnonzero(probe[lo:hi] != 0)
+                if len(left) and len(right):
+                    i, j = exact_links([own[x] for x in left], [own[x] for x in right], similarity)
+                    i, j = left[i], right[j]
+                    differ = label[i] != label[j]
+                    names = np.unique(np.concatenate([label[left], label[right]]))
+                    i, j = i[differ], j[differ]
+                    x, y = np.searchsorted(names, label[i]), np.searchsorted(names, label[j])
+                    root = _roots(len(names), x, y, np.arange(len(names)))
+                    out = np.flatnonzero(root != np.arange(len(names)))
+                    found.append(np.stack([names[out], names[root[out]]]))
+            if found and (pairs := np.concatenate(found, axis=1)).size:
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+
+    return rows.repartition("group", "slice").sortWithinPartitions("group", "slice").mapInArrow(run, "a bigint, b bigint")
+
+
+def checked_links(sets: DataFrame, similarity: float, part: int = SLICE, leaders: int = LEADERS) -> DataFrame:
+    """``sets`` (group, node, shingles) -> links (a, b) that connect the nodes of a group as all its pairs of that similarity do.
+
+    A group is cut into slices of about ``part`` nodes by their hash. First every slice is compared in itself and with the
+    group's ``leaders``, which connects most of a large group of copies. Then the nodes outside the group's largest class so far are
+    compared with all its slices, in blocks; within that class nothing is left to find. All comparisons are of whole sets.
+    """
+    sizes = sets.groupBy("group").agg(F.count(F.lit(1)).alias("n")).withColumnRenamed("group", "g")
+    rows = sets.join(sizes, F.col("group") == F.col("g")).drop("g").withColumn("slices", F.ceil(F.col("n") / part))
+    order = F.xxhash64(F.lit("leader"), "node")
+    own = rows.withColumn("slice", F.pmod(F.xxhash64(F.lit("slice"), "node"), F.col("slices"))).withColumn("label", F.col("node"))
+    # A group's leaders are its nodes of smallest hash: those below the share that gives about as many, once for each slice.
+    large = own.where("slices > 1")
+    first = large.where(F.pmod(order, F.col("n")) < leaders).withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)))
+    shape = ["group", "slice", "node", "label", "probe", "shingles"]
+    # probe: 0 a slice's own node, 1 a probe only, 2 both
+    one = own.withColumn("probe", F.lit(2)).select(*shape).unionByName(first.withColumn("probe", F.lit(1)).select(*shape))
+    links = saved(_alike(one, similarity), "alike")
+    roots = components(links).withColumnRenamed("node", "n1")
+    named = large.join(roots, F.col("node") == F.col("n1"), "left").withColumn("label", F.coalesce("root", "node")).drop("n1", "root")
+    named = saved(named.select("group", "slice", "slices", "node", "label", "shingles"), "named")
+    counts = named.groupBy("group", "label").agg(F.count(F.lit(1)).alias("n"))
+    most = counts.groupBy(F.col("group").alias("g")).agg(F.max(F.struct("n", "label")).alias("m")).select("g", F.col("m.label").alias("most"))
+    others = named.join(most, F.col("group") == F.col("g")).where("label <> most")
+    # Blocks of the others: each meets each slice in a task of its own.
+    blocks = others.groupBy(F.col("group").alias("k")).agg(F.ceil(F.count(F.lit(1)) / part).alias("blocks"))
+    others = others.join(blocks, F.col("group") == F.col("k")).withColumn("block", F.pmod(F.xxhash64(F.lit("block"), "node"), F.col("blocks")))
+    sent = others.withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1))).withColumn("slice", F.col("slice") * F.col("blocks") + F.col("block")).withColumn("probe", F.lit(1))
+    met = named.join(blocks, F.col("group") == F.col("k")).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    met = met.withColumn("slice", F.col("slice") * F.col("blocks") + F.col("block")).withColumn("probe", F.lit(0))
+    return links.unionByName(saved(_alike(sent.select(*shape).unionByName(met.select(*shape)), similarity), "alike"))
+
+
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, parts: int = 8, keys: int = 8, seed: int = SEED) -> DataFrame:
     """(doc_id, component_id) of every row: groups of texts linked by a Jaccard similarity of ``similarity`` or more of their sets of word shingles.
 
     Texts of one set of shingles form a node. Wide fingerprints (64 * parts bits) of the sets are
     compared bit-sliced inside buckets; nodes share a bucket where one of ``keys`` smallest
     shingle hashes agrees, which misses a pair of Jaccard similarity s with probability
-    (1 - s) ** keys. The fingerprints only choose what to look at, with three standard deviations
-    to spare: every link is
-    checked by the exact Jaccard similarity of the sets. Each round checks pairs that would connect
-    a bucket's nodes; buckets with a pair that fails are looked at again without it, until
-    nothing is left to check. Texts without words form one group.
+    (1 - s) ** keys. The fingerprints, with four standard deviations to spare, only join nodes to groups that
+    may hold links; in a group the sets themselves are compared, and only exact links count.
+
+    Null and empty texts have no words and form one group. Repeated rows give repeated results; a null id
+    takes part, component_id being the smallest id that is not null (null if there is none). Texts are read whole,
+    whatever their length. An empty table gives no rows; other columns are ignored.
     """
     prints = saved(_set_prints(docs, id_col, text_col, shingle, seed, parts, keys).withColumn("node", F.xxhash64("digest")), "wide")
     classes = saved(prints.groupBy("node").agg(F.min("doc_id").alias("first"), F.min(F.struct("fingerprint", "keys")).alias("p")).select("node", "first", "p.fingerprint", "p.keys"), "classes")
-    members = saved(classes.select(F.posexplode("keys").alias("k", "key"), F.col("fingerprint").alias("value"), "node").select(F.xxhash64("k", "key").alias("bucket"), "value", "node").distinct(), "members")
-    labelled, good, wrong, roots = members.withColumn("label", F.col("node")), None, None, None
-    radius, more = similarity_radius(similarity, 64 * parts), 0
-    by_id = docs.select(F.col(id_col).alias("_i"), F.col(text_col).alias("text"))
-    while True:
-        asked = saved(_candidates(labelled, wrong, radius, more), "asked")
-        edges = saved(asked.select("a", "b").distinct(), "edges")
-        if edges.isEmpty():
-            break
-        nodes = edges.select(F.explode(F.array("a", "b")).alias("n")).distinct()
-        holders = prints.join(nodes, F.col("node") == F.col("n"), "left_semi").groupBy("node").agg(F.min(F.struct("doc_id", "digest")).alias("h")).select("node", F.col("h.doc_id").alias("holder"), "h.digest")
-        found = by_id.join(saved(holders, "holders").hint("merge"), F.col("_i").eqNullSafe(F.col("holder"))).select("node", "digest", "text")
-        sets = saved(_shingle_sets(found, shingle, seed).groupBy("node").agg(F.first("shingles").alias("shingles")), "sets")
-        first, second = (sets.select(F.col("node").alias(f"n{x}"), F.col("shingles").alias(f"s{x}")) for x in "ab")
-        both = F.size(F.array_intersect("sa", "sb"))
-        pairs = edges.join(first.hint("merge"), F.col("a") == F.col("na")).join(second.hint("merge"), F.col("b") == F.col("nb"))
-        checked = saved(pairs.select("a", "b", (both >= F.lit(similarity) * (F.size("sa") + F.size("sb") - both)).alias("good")), "checked")
-        new, bad = checked.where("good").select("a", "b"), checked.where("not good").select("a", "b")
-        good = new if good is None else good.unionByName(new)
-        if bad.isEmpty():
-            break
-        more = max(16, 8 * more)  # few rounds, however many pairs fail
-        wrong = bad if wrong is None else wrong.unionByName(bad)
-        again = saved(asked.join(bad, ["a", "b"], "left_semi").select(F.col("bucket").alias("_k")).distinct(), "again")
-        roots = components(good).withColumnRenamed("node", "n")
-        members = saved(members.join(again, F.col("bucket") == F.col("_k"), "left_semi"), "members")
-        labelled = saved(members.join(roots, F.col("node") == F.col("n"), "left").select("bucket", "value", "node", F.coalesce("root", "node").alias("label")), "labelled")
-    links = good if good is not None else classes.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
-    roots = components(links).withColumnRenamed("node", "n")
+    members = classes.select(F.posexplode("keys").alias("k", "key"), F.col("fingerprint").alias("value"), "node").select(F.xxhash64("k", "key").alias("bucket"), "value", "node")
+    loose = components(bucket_links(members, similarity_radius(similarity, 64 * parts))).withColumnRenamed("root", "group")
+    loose = saved(loose, "loose")
+    holders = saved(prints.join(loose.select(F.col("node").alias("n")), F.col("node") == F.col("n"), "left_semi").groupBy("node").agg(F.min("doc_id").alias("holder")), "holders")
+    sets = _shingle_sets(docs, id_col, text_col, holders, shingle, seed).join(loose.withColumnRenamed("node", "n"), F.col("node") == F.col("n")).select("group", "node", "shingles")
+    roots = components(checked_links(saved(sets, "sets"), similarity)).withColumnRenamed("node", "n")
     rooted = saved(classes.join(roots, F.col("node") == F.col("n"), "left").select("node", F.coalesce("root", "node").alias("root"), "first"), "roots")
     smallest = saved(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "smallest")
     labels = saved(rooted.join(smallest, "root").select(F.col("node").alias("n"), "component_id"), "labels")

@@ -176,11 +176,62 @@ def test_near_copies_at_the_bound(spark):
     assert got == want
 
 
-def test_candidates_connect_without_wrong_pairs():
-    values = np.array([[0], [1], [3], [255]], np.uint8)
-    assert {frozenset(e) for e in simhash.candidate_edges(values, np.arange(4), [set()] * 4, 2)} <= {frozenset(e) for e in [(0, 1), (1, 2), (0, 2)]}
-    assert simhash.candidate_edges(values, np.arange(4), [{1}, set(), set(), set()], 2) == [(1, 2), (0, 2)]
-    assert simhash.candidate_edges(values, np.array([5, 5, 9, 7]), [set()] * 4, 2) == [(1, 2)]
+def test_exact_links_against_sets():
+    rng = np.random.default_rng(11)
+    base = rng.integers(-(2**62), 2**62, (6, 60))
+    sets = [np.unique(np.where(rng.random(60) < 0.08, rng.integers(-(2**62), 2**62, 60), base[i % 6])) for i in range(50)] + [np.zeros(0, np.int64)] * 2
+    want = {(i, j) for i, a in enumerate(sets) for j, b in enumerate(sets) if len(set(a) & set(b)) >= 0.8 * len(set(a) | set(b))}
+    assert set(zip(*(x.tolist() for x in simhash.exact_links(sets, sets, 0.8)))) == want and len(want) > 100
+
+
+@pytest.mark.parametrize("part", [7, 64])
+def test_groups_of_any_size_connect_as_all_pairs_do(spark, part):
+    """One group of chains, stars and loners cut into slices: the classes of all its pairs, whatever the slices."""
+    rng = np.random.default_rng(part)
+    sets, text = [], rng.integers(0, 10**9, 80)
+    for i in range(150):
+        if i % 30 == 0:
+            text = np.concatenate([text[:40], rng.integers(0, 10**9, 40)])
+        elif i % 3:
+            text = np.concatenate([text[: 80 - int(rng.integers(3, 9))], rng.integers(0, 10**9, 9)])[:80]
+        sets.append(np.unique(np.concatenate([text, rng.integers(0, 10**9, int(rng.integers(0, 12)))])))
+    label = list(range(150))
+    for i, j in itertools.combinations(range(150), 2):
+        if len(np.intersect1d(sets[i], sets[j])) >= 0.8 * len(np.union1d(sets[i], sets[j])):
+            x, y = label[i], label[j]
+            label = [min(x, y) if v in (x, y) else v for v in label]
+    assert 5 < len(set(label)) < 120
+    frame = spark.createDataFrame([(7, i, x.tolist()) for i, x in enumerate(sets)], "group bigint, node bigint, shingles array<bigint>")
+    got = {r.node: r.root for r in graph.components(simhash.checked_links(frame, 0.8, part, 3)).collect()}
+    assert [got.get(i, i) for i in range(150)] == label
+
+
+def test_near_copies_against_brute_force(spark):
+    """2000 texts, 400 pairs of them planted at a similarity of 0.76 to 0.87, beside a line that every text holds."""
+    rng, line = np.random.default_rng(21), prose(12, 5)
+    texts = []
+    for i in range(400):
+        words = prose(150, 1000 + i)
+        other = list(words)
+        for at in np.linspace(4, 140, 2 + i % 3).astype(int):
+            other[at] = f"x{i}"
+        texts += [" ".join(words), " ".join(other)]
+    texts += [" ".join(prose(int(rng.integers(5, 80)), 9000 + i) + line) for i in range(1200)]
+    grams = [frozenset(tuple(w[i : i + 5]) for i in range(len(w) - 4)) for w in (t.split() for t in texts)]
+    held = defaultdict(set)
+    for i, g in enumerate(grams):
+        for x in g:
+            held[x].add(i)
+    label = list(range(2000))
+    pairs = {(i, j) for x in held.values() if len(x) < 50 for i, j in itertools.combinations(sorted(x), 2)}
+    links = [(i, j) for i, j in pairs if len(grams[i] & grams[j]) >= 0.8 * len(grams[i] | grams[j])]
+    for i, j in links:
+        x, y = label[i], label[j]
+        label = [min(x, y) if v in (x, y) else v for v in label] if x != y else label
+    assert 200 < len(links) < 400
+    got = {r.doc_id: r.component_id for r in simhash.near_copies(docs_of(spark, texts)).collect()}
+    assert [got[i] for i in range(2000)] == label
+
 
 
 # --- WARC --------------------------------------------------------------------------------
