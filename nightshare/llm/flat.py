@@ -25,10 +25,10 @@ def byte_classes(blank: bytes = b"", breaks: bytes = b"") -> np.ndarray:
     return classes
 
 
-def chunks(batch: pa.RecordBatch, text: str, size: int = CHUNK) -> Iterator[pa.RecordBatch]:
-    """The batch in slices of at most ``size`` bytes of text each, a longer single text alone."""
+def chunks(batch: pa.RecordBatch, text: str, size: int | None = None) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of at most ``size`` (``CHUNK``) bytes of text each, a longer single text alone."""
     column = batch.column(batch.schema.get_field_index(text))
-    ends = text_offsets(column)[1:]
+    size, ends = size or CHUNK, text_offsets(column)[1:]
     at = 0
     while at < len(batch):
         below = ends[at - 1] if at else 0

@@ -22,11 +22,11 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
     path, id_type = path or tokenizer_path(BYTE_BPE), docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path).encode
+        encode = encoder(path).encode_all
         for batch in batches:
             out = []
-            for i, text in enumerate(batch.column(1)):
-                ids = np.append(encode(text.as_py()), np.uint32(end)).astype("<u4")
+            for i, found in enumerate(encode(batch.column(1))):
+                ids = np.append(found, np.uint32(end)).astype("<u4")
                 cuts = [0, *range(len(ids) - capacity * ((len(ids) - 1) // capacity), len(ids) + 1, capacity)]
                 out += [(i, p, a, b - a, zlib.crc32(ids[a:b].tobytes())) for p, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False))]
             if out:

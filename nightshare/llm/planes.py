@@ -148,13 +148,13 @@ def write_ids(docs: DataFrame, root: str, id_col: str = "doc_id", text_col: str
         fs, base = store(root)
         fs.create_dir(base, recursive=True)
         shard, writer, name = TaskContext.get().partitionId(), None, ""
-        encode = encoder(path).encode
+        encode = encoder(path).encode_all
         for batch in batches:
-            for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
+            for doc_id, found in zip(batch.column(0), encode(batch.column(1)), strict=True):
                 if writer is None:
                     name = f"ids-{shard:06d}-{uuid.uuid4().hex}.planes"
                     writer = Writer(fs.open_output_stream(f"{base}/{name}", compression=None), block, bits)
-                writer.add(doc_id.as_py(), np.append(encode(text.as_py()), np.uint32(end)))
+                writer.add(doc_id.as_py(), np.append(found, np.uint32(end)))
         if writer:
             writer.close()
             yield pa.RecordBatch.from_arrays([pa.array([v]) for v in (shard, name, writer.docs, writer.tokens)], names=["shard", "file", "docs", "tokens"])

@@ -244,3 +244,22 @@ def test_decode_keeps_null_sequences(spark):
 def test_queries_keep_every_document(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     assert QUERIES["op13_merge_round_pieces"](spark, SMALL).agg(F.count_distinct("doc_id")).first()[0] == docs.count()
+
+
+# --- ids of whole columns --------------------------------------------------------------
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_ids_of_a_column_equal_the_library(texts, name, monkeypatch):
+    from nightshare.llm import tokens
+
+    encoder = tokens.Encoder(tokens.tokenizer_path(name))
+    rng = random.Random(6)
+    letters = list("abcdehinorst  \n.,;éÀßŒ日本ー\U0001f600\x00<>'0x1234\t×÷")
+    some = ["".join(rng.choice(kind) for _ in range(rng.randint(0, 40))) for kind in (letters, "abeéÉ .,1", "ab ", " \n.") for _ in range(500)]
+    some += [None, "", " ", "a", " a", "a ", "it's", "<|endoftext|> x", "x" * 3000, "Ab" * 50000, *ODD, *[t for _, t, _ in texts[:40]]]
+    for size in (64, 8 << 20):
+        monkeypatch.setattr(flat, "CHUNK", size)
+        got = list(encoder.encode_all(pa.array(some, pa.string())))
+        assert [g.tolist() for g in got] == [encoder.whole(t).tolist() if t else [] for t in some]
+    assert list(encoder.encode_all(pa.array([], pa.string()))) == []
