@@ -317,7 +317,7 @@ def _(s, d):
 
 @query(
     "fn02_text_key",
-    """SELECT doc_id, md5(regexp_replace(translate(lower(text), 'áàâäãåéèêëíìîïóòôöõúùûüýÿñç', 'aaaaaaeeeeiiiiooooouuuuyync'), '[^a-z0-9]', '', 'g')) AS text_key
+    """SELECT doc_id, md5(regexp_replace(translate(lower(text), 'áàâäãåéèêëíìîïóòôöõúùûüýÿñçºª²', 'aaaaaaeeeeiiiiooooouuuuyyncoa2'), '[^a-z0-9]', '', 'g')) AS text_key
     FROM documents""",
 )
 def _(s, d):

@@ -115,13 +115,13 @@ def _(s, d):
 
 @query(
     "jn07_two_series",
-    """SELECT city, period, round(a.adr, 6) AS adr, round(o.occ, 6) AS occ FROM (SELECT city, period, adr FROM monthly WHERE n > 4) a
-    JOIN (SELECT city, period, occ FROM monthly WHERE occ > 0) o USING (city, period)""",
+    """SELECT city, period, round(a.adr, 6) AS adr, round(o.occ, 6) AS occ FROM (SELECT city, period, adr FROM monthly) a
+    JOIN (SELECT city, period, occ FROM monthly) o USING (city, period)""",
 )
 def _(s, d):
     m = v.monthly(s, d)
-    a = m.where("n > 4").select("city", "period", F.round("adr", 6).alias("adr"))
-    return a.join(m.where("occ > 0").select("city", "period", F.round("occ", 6).alias("occ")), ["city", "period"])
+    a = m.select("city", "period", F.round("adr", 6).alias("adr"))
+    return a.join(m.select("city", "period", F.round("occ", 6).alias("occ")), ["city", "period"])
 
 
 @query(
@@ -546,11 +546,11 @@ def _(s, d):
 
 @query(
     "set02_intersection",
-    "SELECT listing_id FROM nights WHERE lead < 10 AND taken = 1 INTERSECT SELECT listing_id FROM nights WHERE lead > 90 AND taken = 0",
+    "SELECT listing_id FROM nights WHERE lead < 50 AND taken = 1 INTERSECT SELECT listing_id FROM nights WHERE lead >= 50 AND taken = 0",
 )
 def _(s, d):
     n = v.nights(s, d)
-    return n.where("lead < 10 AND taken = 1").select("listing_id").intersect(n.where("lead > 90 AND taken = 0").select("listing_id"))
+    return n.where("lead < 50 AND taken = 1").select("listing_id").intersect(n.where("lead >= 50 AND taken = 0").select("listing_id"))
 
 
 @query("set03_difference", "SELECT listing_id, night FROM nights WHERE lead < 50 EXCEPT SELECT listing_id, night FROM nights WHERE lead >= 50")

@@ -3,26 +3,25 @@
 from __future__ import annotations
 
 import re
-import string
 import unicodedata
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-
-def _folded() -> tuple[str, str]:
-    """Every accented lower-case Latin letter and the plain letter its Unicode decomposition begins with."""
-    pairs = {}
-    for code in (*range(0x00C0, 0x0250), *range(0x1E00, 0x1F00)):
+def _folded() -> tuple[dict[str, str], dict[str, str]]:
+    """Letters and figures whose Unicode compatibility decomposition holds ASCII: those of one such letter, and those of several."""
+    one, several = {}, {}
+    for code in (*range(0x00A0, 0x0250), *range(0x1D00, 0x1F00), *range(0x2000, 0x2500), *range(0xFB00, 0xFB07), *range(0xFF00, 0xFFF0)):
         letter = chr(code)
-        base, *marks = unicodedata.normalize("NFD", letter)
-        if letter.islower() and marks and base in string.ascii_lowercase:
-            pairs[letter] = base
-    return "".join(pairs), "".join(pairs.values())
+        plain = unicodedata.normalize("NFKD", letter).encode("ascii", "ignore").decode()
+        if plain and letter == letter.lower():
+            (one if len(plain) == 1 else several)[letter] = plain
+    return one, several
 
 
-ACCENTED, PLAIN = _folded()
+ONE, SEVERAL = _folded()
+ACCENTED, PLAIN = "".join(ONE), "".join(ONE.values())
 
 # What counts as an address, and what is put in its place.
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
@@ -32,7 +31,13 @@ NUMBER = r"[0-9]+(?:[.,][0-9]+)?"
 
 
 def fold_accents(text: Column) -> Column:
-    return F.translate(F.lower(text), ACCENTED, PLAIN)
+    """Lower case, with accented, raised, wide and joined letters as the ASCII letters they stand for (``º`` o, ``²`` 2, ``ﬁ`` fi)."""
+    low = F.lower(text)
+    wide = low
+    for letter, plain in SEVERAL.items():
+        wide = F.replace(wide, F.lit(letter), F.lit(plain))
+    # Letters that stand for several are rare; the others go by one translation.
+    return F.translate(F.when(low.rlike(f"[{re.escape(''.join(SEVERAL))}]"), wide).otherwise(low), ACCENTED, PLAIN)
 
 
 def text_key(text: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -84,11 +86,8 @@ def uniform(*parts: Column) -> Column:
     return F.conv(F.substring(F.md5(F.concat_ws("|", *[p.cast("string") for p in parts])), 1, 8), 16, 10).cast("double") / 4294967296.0
 
 
-# Cumulative probabilities of a Poisson variable with mean 1, from 0 to 7.
-POISSON_ONE = (
-    0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9810118431238462,
-    0.9963401531726563, 0.9994058151824183, 0.9999167588507119, 0.9999897508033253,
-)
+#: Cumulative probabilities of a Poisson variable with mean 1, up to a tail below the finest step of ``uniform`` (2 ** -32).
+POISSON_ONE = tuple(itertools.accumulate(math.exp(-1) / math.factorial(k) for k in range(13)))
 
 
 def poisson_weight(u: Column) -> Column:

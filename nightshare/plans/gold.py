@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from nightshare.functions import cleaning as c
 from nightshare.functions import dates as dt
-from nightshare.operators.picks import latest_per_key, seen_span
 from nightshare.operators import quality as qa
 from nightshare.operators.prefix import attach
 from nightshare.sources.writers import write_observed
@@ -59,10 +58,12 @@ def dim_zone(
 
 
 def dim_listing(listings: DataFrame, key: str, snapshot: str, attributes: Sequence[str], tie: Sequence[str] = ()) -> DataFrame:
-    """Latest attributes of each listing with the span of captures it was seen in."""
-    cols = list(dict.fromkeys([key, snapshot, *attributes, *tie]))
-    latest = latest_per_key(listings.select(*cols), [key], [snapshot, *tie]).select(key, *attributes)
-    return latest.join(seen_span(listings, [key], snapshot), key)
+    """Latest attributes of each listing with the span of captures it was seen in, in one aggregate."""
+    order = F.struct(snapshot, *tie) if tie else F.col(snapshot)
+    return listings.groupBy(key).agg(
+        *[F.max_by(a, order).alias(a) for a in attributes],
+        F.min(snapshot).alias("first_seen"), F.max(snapshot).alias("last_seen"), F.count(F.lit(1)).alias("captures"),
+    )
 
 
 def dim_date(bounds: DataFrame, start: str, end: str) -> DataFrame:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -42,5 +45,13 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="nightshare-")
+        root = _local_root()
     return os.path.join(root, f"{name}-{uuid.uuid4().hex}")
+
+
+@functools.cache
+def _local_root() -> str:
+    """One scratch folder of this process, removed when it ends; for local masters without the setting only."""
+    root = tempfile.mkdtemp(prefix="nightshare-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root
