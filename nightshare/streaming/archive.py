@@ -21,13 +21,13 @@ from nightshare.sources import folders
 BUCKETS, MOST_DELTAS = 32, 8
 
 
-def _uri(root: str) -> str:
+def uri(root: str) -> str:
     return root if "://" in root or root.startswith("file:") else os.path.abspath(root)
 
 
 def commits(spark: SparkSession, root: str) -> list[dict]:
     """The commits that are left, oldest first: version, buckets, runs (last batch by run), live (versions by bucket)."""
-    there = [n for n in folders.names(f"{_uri(root)}/commits") if n.startswith("v")]
+    there = [n for n in folders.names(f"{uri(root)}/commits") if n.startswith("v")]
     if not there:
         return []
     # A folder without its file is an attempt that did not end; the reader skips what is not committed.
@@ -84,7 +84,7 @@ def apply_batch(batch: DataFrame, root: str, run: str, epoch: int, key: str, wat
     fresh = spark.read.parquet(staged)
     touched = sorted(r.bucket for r in fresh.select("bucket").distinct().collect())  # at most the number of buckets
     if not touched:
-        folders.drop(f"{_uri(root)}/staged/{run}_{epoch}")
+        folders.drop(f"{uri(root)}/staged/{run}_{epoch}")
         return
     before = _live(spark, root, last, touched) if last["live"] else None
     after = ar.advance(None if before is None else before.drop("bucket"), fresh.drop("bucket"), key, watched, fields).withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(number)).cast("int"))
@@ -97,12 +97,12 @@ def apply_batch(batch: DataFrame, root: str, run: str, epoch: int, key: str, wat
     commit = {"version": version, "buckets": number, "runs": last["runs"] | {run: epoch}, "live": live, "key": key, "watched": list(watched), "schema": after.withColumn("version", F.lit(0)).schema.jsonValue()}
     spark.createDataFrame([(json.dumps(commit),)], "value string").coalesce(1).write.mode("overwrite").text(f"{root}/commits/v{version:09d}")
     _sweep(root, [*found[-1:], commit])
-    folders.drop(f"{_uri(root)}/staged/{run}_{epoch}")
+    folders.drop(f"{uri(root)}/staged/{run}_{epoch}")
 
 
 def _sweep(root: str, kept: list[dict]) -> None:
     """Remove bucket folders and commits that none of the kept commits needs."""
-    base = _uri(root)
+    base = uri(root)
     needed = {(v, int(b)) for c in kept for b, versions in c["live"].items() for v in versions}
     newest = max(c["version"] for c in kept)
     for name in folders.names(f"{base}/archive"):

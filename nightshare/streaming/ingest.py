@@ -9,25 +9,41 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from nightshare.sources import folders
 from nightshare.sources.writers import append_log, write_partition
-from nightshare.streaming.archive import apply_batch, read_archive, read_changes  # noqa: F401  (part of this module's interface)
+from nightshare.streaming.archive import apply_batch, read_archive, read_changes, uri  # noqa: F401  (part of this module's interface)
+
+
+#: A file name with a revision (``listings-v2.csv``) corrects the file of the same name without it or with a lower one.
+REVISION = r"[-_.]v(\d+)(?=\.[^/]*$)"
 
 
 def ingest_snapshots(
     source: DataFrame, clean: Callable[[DataFrame], DataFrame], target: str, checkpoint: str,
-    keys: Sequence[str] = ("city", "snapshot_date"),
+    keys: Sequence[str] = ("city", "snapshot_date"), revision: str = REVISION,
 ) -> StreamingQuery:
     """Clean each newly landed capture and write it below its partition.
 
-    ``source`` is a streaming read of landed files. Below a capture's partition each landed file has
-    one of its own (``landed``, which ``clean`` has to keep), so a late file adds to its capture, and
-    a batch that is run again replaces what it wrote.
+    ``source`` is a streaming read of landed files, each of which belongs to one capture. Below a capture's partition a file has
+    one of its own (``landed``, which ``clean`` has to keep), named by its path without the revision. So a late file adds to its
+    capture, a corrected file replaces the one it supersedes, a revision that lands after a later one changes
+    nothing, and a batch that is run again replaces what it wrote.
     """
+    path = F.col("_metadata.file_path")
 
     def load(batch: DataFrame, epoch: int) -> None:
-        write_partition(clean(batch), target, [*keys, "landed"])
-
-    return source.withColumn("landed", F.md5("_metadata.file_path")).writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        spark, ledger = batch.sparkSession, f"{target}/_revisions"
+        # A row per file, here and in the ledger.
+        newest = batch.groupBy(F.col("landed").alias("__l")).agg(F.max("__revision").alias("__r"))
+        if folders.names(uri(ledger)):
+            known = spark.read.schema("landed string, revision int").parquet(ledger).groupBy("landed").agg(F.max("revision").alias("known"))
+            newest = newest.join(known, F.col("__l") == F.col("landed"), "left").where("known is null or __r >= known").select("__l", "__r")
+        kept = batch.join(newest, (F.col("landed") == F.col("__l")) & (F.col("__revision") == F.col("__r")), "left_semi")
+        write_partition(clean(kept.drop("__revision")), target, [*keys, "landed"])
+        append_log(newest.select(F.col("__l").alias("landed"), F.col("__r").alias("revision")), ledger)
+
+    landed = source.withColumn("landed", F.md5(F.regexp_replace(path, revision, ""))).withColumn("__revision", F.coalesce(F.regexp_extract(path, revision, 1).try_cast("int"), F.lit(0)))
+    return landed.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def archive_changes(

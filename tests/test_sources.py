@@ -223,6 +223,23 @@ def test_late_file_adds_to_its_capture(spark, tmp_path):
     assert sorted(r["n"] for r in spark.read.parquet(target).collect()) == [1, 2]
 
 
+def test_corrected_file_replaces_the_one_it_supersedes(spark, tmp_path):
+    landing, target, schema = tmp_path / "landing", str(tmp_path / "t"), "city string, snapshot_date string, n int"
+
+    def land(*files):
+        landing.mkdir(exist_ok=True)
+        for name, ns in files:
+            (landing / name).write_text("".join(f"A,2025-01-01,{n}\n" for n in ns))
+        for _ in range(2):
+            st.ingest_snapshots(spark.readStream.schema(schema).csv(str(landing)), lambda b: b, target, str(tmp_path / "cp")).awaitTermination()
+        return sorted(r["n"] for r in spark.read.parquet(target).collect())
+
+    assert land(("a.csv", [1, 2])) == [1, 2]
+    assert land(("a-v2.csv", [3]), ("b.csv", [9])) == [3, 9]
+    assert land(("a-v4.csv", [5]), ("a-v3.csv", [4])) == [5, 9]
+    assert land(("a-v1.csv", [7]), ("c_v2.csv", [8])) == [5, 8, 9]
+
+
 def test_log_run(spark, tmp_path):
     path = str(tmp_path / "log")
     for n in (1, 2):
