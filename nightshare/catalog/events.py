@@ -128,7 +128,7 @@ def _(s, d):
     return r6(ev.effect_summary(_effects(s, d)), "diff_pp", "std_error")
 
 
-AGENDA_SQL = """SELECT doc_id, text AS name, text AS price, source AS place, lang AS kind, lang AS venue,
+AGENDA_SQL = """SELECT doc_id, text AS name, text AS price, source AS place, lang AS kind, lang || ' hall ' || doc_id % 3 AS venue,
 '2024-' || lpad(CAST(doc_id % 13 AS VARCHAR), 2, '0') || '-' || lpad(CAST(doc_id % 28 + 1 AS VARCHAR), 2, '0') AS a,
 '2024-' || lpad(CAST((n_chars + 3) % 12 + 1 AS VARCHAR), 2, '0') || '-15T20:00' AS b FROM documents"""
 
@@ -142,7 +142,7 @@ def agenda(s, d):
         col("text").alias("price"),
         col("source").alias("place"),
         col("lang").alias("kind"),
-        col("lang").alias("venue"),
+        F.concat("lang", F.lit(" hall "), i % 3).alias("venue"),
         F.concat(F.lit("2024-"), two(i % 13), F.lit("-"), two(i % 28 + 1)).alias("start"),
         F.concat(F.lit("2024-"), two((col("n_chars") + 3) % 12 + 1), F.lit("-15T20:00")).alias("end"),
     )
@@ -171,7 +171,7 @@ def _(s, d):
     f"""WITH ag AS (SELECT regexp_replace(name, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{{2,}}', '[email]', 'g') AS name, kind, venue, TRY_CAST(a AS DATE) AS start_date, TRY_CAST(left(b, 10) AS DATE) AS end_date,
       CASE WHEN starts_with(place, 'src1') THEN 'A' WHEN starts_with(place, 'src2') THEN 'B' ELSE 'Other' END AS city FROM ({AGENDA_SQL})),
     st AS (SELECT left(trim(replace(regexp_replace(regexp_replace(trim(name, '"'), '(?i)\\A\\s*entradas\\s+', ''), '\\s*\\([^)0-9]*[0-9][^)]*\\)\\s*\\z', ''), '"', ''), ' -'), 70) AS name, city, kind, start_date, end_date, 3 AS rank
-      FROM ag WHERE start_date <= end_date AND city IN ('A', 'B') AND regexp_matches(venue, '^(en|fr|es)$') AND start_date >= DATE '2024-03-01' AND kind IN ('en', 'fr') AND NOT contains(upper(name), 'CANCELAD')
+      FROM ag WHERE start_date <= end_date AND city IN ('A', 'B') AND regexp_matches(venue, '^(en|fr|es) hall') AND (kind <> 'fr' OR regexp_matches(venue, 'hall [01]$')) AND start_date >= DATE '2024-03-01' AND kind IN ('en', 'fr') AND NOT contains(upper(name), 'CANCELAD')
       UNION ALL SELECT n_name, 'A', 'curated', DATE '2024-06-01' + CAST(n_nationkey AS INT), DATE '2024-06-03' + CAST(n_nationkey AS INT), 1 FROM nation
       UNION ALL SELECT lower(n_name), 'A', 'match', DATE '2024-06-01' + CAST(n_nationkey AS INT), DATE '2024-06-01' + CAST(n_nationkey AS INT), 2 FROM nation)
     SELECT md5(name) AS name_md5, city, kind, start_date, end_date, rank FROM (SELECT *, row_number() OVER (PARTITION BY city, start_date,
@@ -187,6 +187,6 @@ def _(s, d):
         F.lower("n_name").alias("name"), F.lit("A").alias("city"), F.lit("match").alias("kind"), first.alias("start_date"), first.alias("end_date")
     )
     out = ev.event_calendar(
-        normalised(s, d), curated, F.lit("2024-03-01").cast("date"), ["A", "B"], ["en", "fr"], "^(en|fr|es)$", matches=matches
+        normalised(s, d), curated, F.lit("2024-03-01").cast("date"), ["A", "B"], ["en", "fr"], "^(en|fr|es) hall", matches=matches, venues_of={"fr": "hall [01]$"}
     )
     return out.select(F.md5("name").alias("name_md5"), "city", "kind", "start_date", "end_date", "rank")

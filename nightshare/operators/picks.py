@@ -1,4 +1,8 @@
-"""Picking one row per key and simple per-key histories, as hash aggregates that combine before the shuffle."""
+"""Picking one row per key and simple per-key histories, as aggregates that combine before the shuffle.
+
+Number columns picked by one number stay in a hash aggregate. Text, and order by several columns (a struct), make Spark
+aggregate by sorting; rows of a task are sorted by key then, which spills, and are still combined before the shuffle.
+"""
 
 from __future__ import annotations
 

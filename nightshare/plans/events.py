@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -119,10 +121,13 @@ def normalise_events(
 
 def event_calendar(
     agenda: DataFrame, curated: DataFrame | None, capture: Column, cities: Sequence[str], kinds: Sequence[str],
-    venue_pattern: str, cancelled: str = "CANCELAD", matches: DataFrame | None = None,
+    venue_pattern: str, cancelled: str = "CANCELAD", matches: DataFrame | None = None, venues_of: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """One calendar from curated events, matches and the agenda, the better source first.
 
+    Agenda events count at venues that match ``venue_pattern``; kinds named in ``venues_of`` (such as fairs and congresses)
+    only at venues that match the kind's own pattern as well.
+
     Sources share (name, city, kind, start_date, end_date); the agenda also has venue and dates_valid.
     The key of an event is its city, first day and folded name.
     """
@@ -134,6 +139,7 @@ def event_calendar(
         & (F.col("start_date") >= capture)
         & F.col("kind").isin(*kinds)
         & ~F.upper("name").contains(cancelled)
+        & reduce(and_, [(F.col("kind") != kind) | F.col("venue").rlike(pattern) for kind, pattern in (venues_of or {}).items()], F.lit(True))
     ).withColumn("name", tx.clean_name(F.col("name")))
     stacked = kept.select(*cols, F.lit(3).alias("rank"))
     if matches is not None:
