@@ -443,6 +443,23 @@ def _(s, d):
     return r6(out, "room_share", "pro_share", "price_median", "occ_median", "income_p25", "income_median", "income_p75", "times_long_let")
 
 
+@query(
+    "an29_zone_metrics_residents",
+    """WITH h AS (SELECT i.*, g.district FROM homes i JOIN hexed g USING (id) WHERE district IS NOT NULL),
+    r AS (SELECT 'district' AS level, district AS zone, 50.0 * count(*) AS residents FROM located WHERE district IS NOT NULL GROUP BY district UNION ALL SELECT 'city', 'all', 50.0 * count(*) FROM located WHERE district IS NOT NULL),
+    m AS (SELECT 'district' AS level, district AS zone, count(*) FILTER (room_type <> 'PROMO') AS homes FROM h GROUP BY district UNION ALL SELECT 'city', 'all', count(*) FILTER (room_type <> 'PROMO') FROM h)
+    SELECT level, zone, homes, round(homes * 1000.0 / residents, 6) AS per_1000 FROM m LEFT JOIN r USING (level, zone)""",
+)
+def _(s, d):
+    """Homes per 1 000 residents; every point stands for 50 of them."""
+    located = sp.locate(v.points(s, d), v.districts(s, d), CELL).where("district IS NOT NULL")
+    counted = located.rollup("district").agg((F.count("*") * 50.0).alias("residents"))
+    residents = counted.select(F.when(col("district").isNull(), "city").otherwise("district").alias("level"), F.coalesce("district", F.lit("all")).alias("zone"), "residents")
+    entire = col("room_type") != "PROMO"
+    out = pe.zone_metrics(v.listing_income(s, d).join(located, "id"), {"district": col("district"), "city": F.lit("all")}, entire=entire, professional=col("reviews") >= 30, active=entire, residents=residents)
+    return r6(out.select("level", "zone", "homes", "per_1000"), "per_1000")
+
+
 @query(
     "an30_hex_bins",
     "SELECT q, r, count(*) FILTER (label < 7) AS homes, count(*) AS points FROM hexed GROUP BY q, r HAVING count(*) FILTER (label < 7) >= 10",

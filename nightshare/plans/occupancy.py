@@ -123,9 +123,10 @@ def pickup(calendar: DataFrame, captures: DataFrame, city: str = "city", snapsho
 def zone_revpar(calendar: DataFrame, listings: DataFrame, zone: str, price: str = "price", min_listings: int = 30) -> DataFrame:
     """Zone medians of listing shares and prices, and their product."""
     from nightshare.operators.prefix import many_quantiles
+    from nightshare.session import settled
 
     share = calendar.groupBy("listing_id").agg(F.avg("taken").alias("share"))
-    joined = listings.join(share, "listing_id")
+    joined = settled(listings.join(share, "listing_id"), "shares")
     sizes = joined.groupBy(zone).agg(F.count(F.lit(1)).alias("listings")).where(F.col("listings") >= min_listings)
     med = many_quantiles(joined, [zone], {"share": "share", "price": price}, {"median": 0.5})
     return sizes.join(med, zone).withColumn("revpar", F.col("share_median") * F.col("price_median"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from nightshare.functions.cleaning import capacity_band, host_segment, suppress
 from nightshare.operators.prefix import attach, group_quantiles, many_quantiles
+from nightshare.session import settled
 
 LEAST_PEERS = 10
 PROFESSIONAL_HOMES = 10
@@ -40,7 +41,7 @@ def cube_quantiles(df: DataFrame, zone: str, capacity: str, price: str, least: i
 
 def with_peers(active: DataFrame, zone: str = "zone", guests: str = "accommodates", least: int = LEAST_PEERS) -> DataFrame:
     """Each listing with the quartiles of its zone and capacity band; thin groups and unknown bands are left out."""
-    banded = active.withColumn("band", capacity_band(F.col(guests))).where(F.col("band").isNotNull())
+    banded = settled(active.withColumn("band", capacity_band(F.col(guests))).where(F.col("band").isNotNull()), "banded")
     keys = [zone, "band"]
     q = many_quantiles(
         banded, keys, {"income": "income", "price": "price", "occ": "occ"}, {"q25": 0.25, "med": 0.5, "q75": 0.75}, count_as="peers"
@@ -73,7 +74,7 @@ def peer_gap(active: DataFrame, by: Sequence[str] = ("zone",), zone: str = "zone
 
 def host_segments(active: DataFrame, homes: str, zone: str = "zone", guests: str = "accommodates", least: int = LEAST_PEERS) -> DataFrame:
     """By host size: listings, medians, and the share below the peers' lower income quartile."""
-    peered = with_peers(active, zone, guests, least).withColumn("segment", host_segment(F.col(homes)))
+    peered = settled(with_peers(active, zone, guests, least).withColumn("segment", host_segment(F.col(homes))), "peered")
     sizes = peered.groupBy("segment").agg(
         F.count(F.lit(1)).alias("listings"), F.avg((F.col("income") < F.col("income_q25")).cast("double")).alias("below_q25")
     )
@@ -100,7 +101,7 @@ def zone_metrics(
         .drop("__z")
         .where(F.col("zone").isNotNull())
     )
-    keys = ["level", "zone"]
+    keys, spread = ["level", "zone"], settled(spread, "spread")
     base = spread.groupBy(*keys).agg(
         F.count_if("__entire").alias("homes"),
         F.avg((~F.col("__entire")).cast("double")).alias("room_share"),

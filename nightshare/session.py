@@ -9,7 +9,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "nightshare", master: str | None = None, shuffle_partitions: int | None = None, **settings: str) -> SparkSession:
@@ -49,6 +49,13 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(root, f"{name}-{uuid.uuid4().hex}")
 
 
+def settled(df: DataFrame, name: str) -> DataFrame:
+    """The rows written to the shared folder and read back: computed once where several branches of a plan need them, with sizes Spark knows."""
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @functools.cache
 def _local_root() -> str:
     """One scratch folder of this process, removed when it ends; for local masters without the setting only."""
