@@ -135,7 +135,7 @@ def plan_units(rows: DataFrame, weights=WEIGHTS, share: float = SHARE, limit: in
     permuted = Window.partitionBy("_source").orderBy(F.md5(F.concat_ws(":", name, F.col("_block").cast("string"))), "_block")
     upto = F.sum("words").over(permuted.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     need = F.col("target") - F.col("whole") * F.col("source_size")
-    extra = (F.col("upto") - F.col("words") / 2 <= need).cast("long")
+    extra = ((need > 0) & (F.col("upto") - F.col("words") / 2 <= need)).cast("long")
     quota = joined.withColumn("upto", upto).withColumn("times", F.col("whole") + extra)
     units = quota.where("times > 0").select("_source", "_block", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))).alias("pass"))
     order = Window.partitionBy("_source").orderBy(F.md5(F.concat_ws(":", name, F.col("_block").cast("string"), F.col("pass").cast("string"))), "_block", "pass")
@@ -154,13 +154,18 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     blocks to shards; a shard's rows are ordered by a hash. Hot sources spread over their blocks.
     Rows of a null source form the last source; null ids share a block; repeated rows are drawn
     together; empty texts have size 0 and go with their block. Empty input gives an empty mix.
-    Clashing input columns are safe: own columns are dropped or start with ``mix_``.
+    Input columns are kept whatever their names, but for ``mix_shard`` and ``mix_place``, which are replaced.
+    Texts are only counted, whatever their length.
     """
+    # Names that the steps below use for themselves stand aside meanwhile.
+    aside = {c: f"mix_aside{c}" for c in ("_size", "_source", "_block", "_s", "_b", "_pass") if c in docs.columns}
+    docs = docs.drop("mix_shard", "mix_place").withColumnsRenamed(aside)
+    id_col, text_col, source_col = (aside.get(c, c) for c in (id_col, text_col, source_col))
     rows = sized(docs, id_col, text_col, source_col, blocks)
     units, _ = plan_units(rows.select("_source", "_block", "_size"), weights, share, limit, levels, seed)
     units = units.select(F.col("_source").alias("_s"), F.col("_block").alias("_b"), F.col("pass").alias("_pass"), F.col("shard").alias("mix_shard"))
     drawn = rows.join(units, rows._source.eqNullSafe(F.col("_s")) & (rows._block == F.col("_b")))
-    return drawn.withColumn("mix_place", F.xxhash64(F.lit(seed), F.col(id_col), "_pass")).drop("_size", "_source", "_block", "_s", "_b", "_pass")
+    return drawn.withColumn("mix_place", F.xxhash64(F.lit(seed), F.col(id_col), "_pass")).drop("_size", "_source", "_block", "_s", "_b", "_pass").withColumnsRenamed({v: k for k, v in aside.items()})
 
 
 def mix_summary(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS, share: float = SHARE, limit: int = LIMIT, blocks: int = BLOCKS, levels: int = LEVELS, seed: int = 42) -> DataFrame:

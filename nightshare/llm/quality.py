@@ -106,9 +106,9 @@ def fit(docs: DataFrame, labels: DataFrame, good: Column, id_col: str = "doc_id"
 
 
 def with_evidence(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """All columns and ``quality_logit``, the classifier's log odds of a good document."""
-    names = docs.columns
-    at = names.index(text_col)
+    """All columns and ``quality_logit``, the classifier's log odds of a good document. Texts are read whole, one at a time, whatever their length."""
+    docs = docs.drop("quality_logit")  # an input column of that name is replaced
+    at = docs.columns.index(text_col)
     held = docs.sparkSession.sparkContext.broadcast(model)  # a fixed number of weights
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -234,6 +234,25 @@ def test_near_copies_against_brute_force(spark):
 
 
 
+# --- clashing columns and wordless blocks ------------------------------------------------
+
+
+def test_clashing_columns_of_classifier_and_mix(spark):
+    docs = docs_of(spark, ["one two three"] * 30, source="s").withColumns({"quality_logit": F.lit("x"), "_size": F.lit("kept"), "_block": F.lit(3), "mix_shard": F.lit("gone")})
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(30)], "doc_id long, quality int, toxic int")
+    model = quality.fit(docs, labels, quality.good_label())
+    rows = quality.classify(quality.with_evidence(docs, model), F.col("source"), F.col("lang"))
+    assert rows.count() == 30 and rows.columns.count("quality_logit") == 1 and dict(rows.dtypes)["quality_logit"] == "double"
+    mixed = mixing.mix(docs)
+    assert {(r._size, r._block) for r in mixed.collect()} == {("kept", 3)} and dict(mixed.dtypes)["mix_shard"] != "string"
+
+
+def test_wordless_rows_are_drawn_twice_at_most(spark):
+    docs = docs_of(spark, ["", None, "   "] * 40 + ["a b"] * 3, source="small").unionByName(docs_of(spark, ["w " * 500] * 20, range(1000, 1020), source="zlarge"))
+    times = mixing.mix(docs, weights=(3, 1)).groupBy("doc_id").count().agg(F.max("count")).first()[0]
+    assert times <= 2
+
+
 # --- WARC --------------------------------------------------------------------------------
 
 
