@@ -31,6 +31,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Bytes of a group of files or of a range; bytes read at once; bytes of a block of CSV rows (a single row has to fit).
 GROUP, PIECE, BLOCK = 64 << 20, 4 << 20, 16 << 20
+#: Bytes of JSON whose quotes and brackets are found at once: the arrays for it take some fifty times as much.
+MARKED = 128 << 10
 
 
 def _open(path: str):
@@ -328,11 +330,10 @@ class RangeReader(_Reader):
         for path, start, end in partition.parts:
             quotes, outside, inside = 0, 0, 0
             if end is not None:
-                data, before = _range(path, start, end)
-                quote, step = json_marks(data, before)
-                quotes = int(quote.sum())
-                odd = np.cumsum(quote) % 2 == 1
-                outside, inside = int(step[~odd].sum()), int(step[odd].sum())
+                for _, quote, step in _marked(path, start, end):
+                    odd = (np.cumsum(quote) + quotes) % 2 == 1
+                    outside, inside = outside + int(step[~odd].sum()), inside + int(step[odd].sum())
+                    quotes += int(quote.sum())
             yield path, start, end, quotes, outside, inside
 
 
@@ -348,8 +349,8 @@ class JsonRanges(DataSource):
         return RangeReader(self.options)
 
 
-def _range(path: str, start: int, end: int) -> tuple[np.ndarray, int]:
-    """The bytes of a range, and how many backslashes stand right before it."""
+def _slashes(path: str, start: int) -> int:
+    """How many backslashes stand right before a byte of a file."""
     with _open(path) as raw:
         back = 0
         while start - back > 0:
@@ -357,8 +358,23 @@ def _range(path: str, start: int, end: int) -> tuple[np.ndarray, int]:
             if raw.read(1) != b"\\":
                 break
             back += 1
-        raw.seek(start)
-        return np.frombuffer(raw.read(end - start), np.uint8), back
+        return back
+
+
+def _marked(path: str, start: int, end: int | None) -> Iterator[tuple[bytes, np.ndarray, np.ndarray]]:
+    """The bytes of a range with their marks (see :func:`json_marks`), ``MARKED`` at a time, however long the range."""
+    before = _slashes(path, start) if start else 0
+    for piece in _pieces(path, start):
+        if end is not None:
+            piece = piece[: max(0, end - start)]
+        start += len(piece)
+        for at in range(0, len(piece), MARKED):
+            part = piece[at : at + MARKED]
+            yield part, *json_marks(np.frombuffer(part, np.uint8), before)
+            tail = len(part) - len(part.rstrip(b"\\"))
+            before = before + tail if tail == len(part) else tail
+        if start == end:
+            return
 
 
 def json_marks(data: np.ndarray, before: int = 0) -> tuple[np.ndarray, np.ndarray]:
@@ -383,7 +399,7 @@ def objects_of(path: str, start: int, end: int | None, in_text: bool, depth: int
             break
     held, base, before, begun = b"", start, 0, None
     if end is not None and start:
-        before = _range(path, start, start)[1]
+        before = _slashes(path, start)
     for piece in _pieces(path, start):
         data = np.frombuffer(piece, np.uint8)
         quote, step = json_marks(data, before)

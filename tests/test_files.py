@@ -4,6 +4,7 @@ import gzip
 import hashlib
 import json
 import random
+import tracemalloc
 
 import pytest
 from pyspark.sql import functions as F
@@ -98,6 +99,37 @@ def test_json_small_pieces_packed_files_and_lines(spark, tmp_path, monkeypatch):
     assert fl.read_json_objects(spark, str(tmp_path / "z"), "id int", 40).count() == 55
 
 
+def most_memory(work):
+    """Result and peak of memory, in bytes."""
+    tracemalloc.start()
+    try:
+        return work(), tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def ranges_of(path, group=fl.GROUP):
+    reader = fl.RangeReader({"paths": json.dumps([path]), "group": str(group)})
+    return [r for p in reader.partitions() for r in reader.read(p)]
+
+
+def test_a_range_takes_less_memory_than_its_bytes(tmp_path):
+    """Work list rows (src03_read_worklist): what a range needs does not grow with its length."""
+    row = json.dumps({"ciudad": "O", "ruta": "r12", "fecha": "1996-01-02", "ruta_fichero": "data/3/calendar.csv.gz"}) + ",\n"
+    path = write(tmp_path / "w.json", "[" + row * 250_000 + "null]")
+    (only,), peak = most_memory(lambda: ranges_of(path))
+    assert only[2] > 24_000_000 and only[3:] == (8 * 2 * 250_000, 0, 0)
+    assert peak < 16 << 20
+
+
+@pytest.mark.parametrize("size", [1, 7, 64])
+def test_ranges_are_marked_alike_in_parts_of_any_size(tmp_path, monkeypatch, size):
+    path = write(tmp_path / "n.json", json.dumps([{"id": i, "t": NASTY[i % len(NASTY)] * 3} for i in range(60)], ensure_ascii=False))
+    whole = ranges_of(path, 101)
+    monkeypatch.setattr(fl, "MARKED", size)
+    assert ranges_of(path, 101) == whole and len(whole) > 10
+
+
 def test_no_file_no_rows(spark, tmp_path):
     (tmp_path / "none").mkdir()
     assert fl.read_json_objects(spark, str(tmp_path / "none"), "id int").collect() == []
