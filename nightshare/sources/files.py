@@ -397,12 +397,9 @@ def objects_of(path: str, start: int, end: int | None, in_text: bool, depth: int
         if first := piece.lstrip(b"\xef\xbb\xbf \t\r\n")[:1]:
             level = 1 if first == b"[" else 0
             break
-    held, base, before, begun = b"", start, 0, None
-    if end is not None and start:
-        before = _slashes(path, start)
-    for piece in _pieces(path, start):
+    held, base, begun = bytearray(), start, None
+    for piece, quote, step in _marked(path, start, None):
         data = np.frombuffer(piece, np.uint8)
-        quote, step = json_marks(data, before)
         inside = (np.cumsum(quote) + in_text) % 2 == 1
         step = np.where(inside, 0, step)
         depths = depth + np.cumsum(step, dtype=np.int64)
@@ -422,10 +419,8 @@ def objects_of(path: str, start: int, end: int | None, in_text: bool, depth: int
         in_text = bool(inside[-1]) if len(inside) else in_text
         # A quote is counted as inside from its opening on, and its closing quote as outside.
         depth = int(depths[-1]) if len(depths) else depth
-        tail = len(piece) - len(piece.rstrip(b"\\"))
-        before = before + tail if tail == len(piece) else tail
-        held = held[begun - (base + len(piece) - len(held)) :] if begun is not None else b""
         base += len(piece)
+        del held[: len(held) if begun is None else begun - (base - len(held))]
         if end is not None and base >= end and begun is None:
             return
 

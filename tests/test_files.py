@@ -130,6 +130,16 @@ def test_ranges_are_marked_alike_in_parts_of_any_size(tmp_path, monkeypatch, siz
     assert ranges_of(path, 101) == whole and len(whole) > 10
 
 
+def test_objects_of_a_range_take_less_memory_than_its_bytes(tmp_path):
+    """Texts with quotes, brackets and backslashes (src07_read_registry), one of them longer than a piece."""
+    texts = ["".join(NASTY) * 200, "[{" * 3_000_000]
+    dumps = [json.dumps({"Nombre": t}, ensure_ascii=False) for t in texts]
+    path = write(tmp_path / "r.json", "[" + ",\n".join(dumps[:1] * 4000 + dumps[1:] + dumps[:1] * 4000) + ",null]")
+    found, peak = most_memory(lambda: [hash(x) for x in fl.objects_of(path, 0, None, False, 0)])
+    assert found == [hash(x) for x in dumps[:1] * 4000 + dumps[1:] + dumps[:1] * 4000]
+    assert peak < 48 << 20
+
+
 def test_no_file_no_rows(spark, tmp_path):
     (tmp_path / "none").mkdir()
     assert fl.read_json_objects(spark, str(tmp_path / "none"), "id int").collect() == []
