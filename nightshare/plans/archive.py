@@ -61,7 +61,8 @@ def keyed_captures(batch: DataFrame, key: str, watched: Sequence[str], day: str)
     other = [c for c in batch.columns if c not in (key, day, *watched)]
     rows = batch.where(F.col(key).isNotNull() & F.col(day).isNotNull())
     rows = rows.select(key, F.to_date(day).alias("__day"), F.struct(F.struct(*watched).alias("w"), F.struct(*other, F.lit(True).alias("__there")).alias("o")).alias("__row"))
-    daily = rows.groupBy(key, "__day").agg(F.max("__row").alias("__row"))
+    # Dealt by key first, both aggregates find a key's rows in one task.
+    daily = rows.repartition(F.col(key)).groupBy(key, "__day").agg(F.max("__row").alias("__row"))
     return daily.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(F.col("__day").alias("day"), "__row.w", "__row.o"))).alias("__new"))
 
 
@@ -71,7 +72,8 @@ def advance(state: DataFrame | None, captures: DataFrame, key: str, watched: Seq
     ``state`` holds, per key, the fields of its last capture, ``counted`` (its capture days as words of 64 bits)
     and ``steps`` (the watched fields on the first day and on each day that changed them). These say what
     the watched fields were on every counted day, so a capture that lands again, late or in another
-    order leads to the same state. For a key whose new days all follow its last one only the last step is looked at.
+    order leads to the same state. For a key whose new days all follow its last one only the last step is looked at; a single
+    day at either end, or with the watched fields already known for it, is added without looking at the other days.
     """
     if state is None:
         both = captures.withColumn("__old", F.lit(None).cast(_state_struct(captures, watched, fields)))
@@ -81,11 +83,18 @@ def advance(state: DataFrame | None, captures: DataFrame, key: str, watched: Seq
     value = "named_struct(" + ", ".join(f"'{w}', __old.`{w}`" for w in watched) + ")"
     other = [f for f in fields if f not in watched]
     rest = "named_struct(" + ", ".join([*[f"'{f}', __old.`{f}`" for f in other], "'__there', true"]) + ")"
-    late = "(__old IS NOT NULL AND __new[0].day <= __old.last_seen)"
+    # Most keys bring one day that is new at an end, or that changes no step: their state needs no walk over the days.
+    both = both.selectExpr(
+        "*",
+        "size(__new) = 1 AND (__old IS NULL OR __new[0].day > __old.last_seen OR __new[0].day < __old.first_seen"
+        " OR try_element_at(filter(__old.steps, s -> s.day <= __new[0].day), -1).w <=> __new[0].w) AS __plain",
+    )
+    late = "(NOT __plain AND __old IS NOT NULL AND __new[0].day <= __old.last_seen)"
     both = both.selectExpr(
         f"`{key}`",
         "__new",
         "__old",
+        "__plain",
         f"CASE WHEN {late} THEN flatten(transform(__old.counted, x -> transform(filter(sequence(0, 63), i -> (shiftright(x.bits, i) & 1) = 1), i -> date_from_unix_date(cast(x.word * 64 + i AS INT)))))"
         " ELSE cast(array() AS ARRAY<DATE>) END AS __days",
     )
@@ -93,7 +102,7 @@ def advance(state: DataFrame | None, captures: DataFrame, key: str, watched: Seq
     held = "transform(filter(array(d), x -> array_contains(__days, x)), x -> try_element_at(filter(__old.steps, s -> s.day <= x), -1).w)"
     both = both.selectExpr(
         "*",
-        f"transform(array_sort(array_union(__days, transform(__new, x -> x.day))), d -> named_struct('day', d, 'w', array_max(concat({held}, transform(filter(__new, x -> x.day = d), x -> x.w))))) AS __points",
+        f"CASE WHEN __plain THEN NULL ELSE transform(array_sort(array_union(__days, transform(__new, x -> x.day))), d -> named_struct('day', d, 'w', array_max(concat({held}, transform(filter(__new, x -> x.day = d), x -> x.w))))) END AS __points",
         f"CASE WHEN {late} OR __old IS NULL THEN NULL ELSE named_struct('day', __old.last_seen, 'w', {value}) END AS __before",
     )
     both = both.selectExpr("*", "CASE WHEN __before IS NULL THEN __points ELSE concat(array(__before), __points) END AS __line")
@@ -110,7 +119,26 @@ def advance(state: DataFrame | None, captures: DataFrame, key: str, watched: Seq
         "aggregate(filter(__new, x -> cast(floor(unix_date(x.day) / 64) AS INT) = k), coalesce(try_element_at(filter(__old.counted, x -> x.word = k), 1).bits, 0L),"
         " (a, x) -> a | shiftleft(1L, pmod(unix_date(x.day), 64)))"
     )
-    both = both.selectExpr("*", f"{newest} AS __last", f"transform(array_sort({words}), k -> named_struct('word', k, 'bits', {bits})) AS counted", f"CASE WHEN __before IS NULL THEN {changed} ELSE concat(__old.steps, {changed}) END AS steps")
+    # The same for a plain key.
+    word, bit = "cast(floor(unix_date(__new[0].day) / 64) AS INT)", "shiftleft(1L, pmod(unix_date(__new[0].day), 64))"
+    entry, step = f"array(named_struct('word', {word}, 'bits', {bit}))", "array(named_struct('day', __new[0].day, 'w', __new[0].w))"
+    one_counted = (
+        f"CASE WHEN __old IS NULL THEN {entry} WHEN exists(__old.counted, x -> x.word = {word})"
+        f" THEN transform(__old.counted, x -> named_struct('word', x.word, 'bits', CASE WHEN x.word = {word} THEN x.bits | {bit} ELSE x.bits END))"
+        f" ELSE sort_array(concat(__old.counted, {entry})) END"
+    )
+    one_steps = (
+        f"CASE WHEN __old IS NULL THEN {step}"
+        f" WHEN __new[0].day > __old.last_seen THEN CASE WHEN __new[0].w <=> {value} THEN __old.steps ELSE concat(__old.steps, {step}) END"
+        f" WHEN __new[0].day < __old.first_seen THEN concat({step}, CASE WHEN __new[0].w <=> __old.steps[0].w THEN slice(__old.steps, 2, size(__old.steps)) ELSE __old.steps END)"
+        " ELSE __old.steps END"
+    )
+    both = both.selectExpr(
+        "*",
+        f"{newest} AS __last",
+        f"CASE WHEN __plain THEN {one_counted} ELSE transform(array_sort({words}), k -> named_struct('word', k, 'bits', {bits})) END AS counted",
+        f"CASE WHEN __plain THEN {one_steps} WHEN __before IS NULL THEN {changed} ELSE concat(__old.steps, {changed}) END AS steps",
+    )
     return both.selectExpr(
         f"`{key}`",
         *[f"__last.w.`{f}` AS `{f}`" if f in watched else f"__last.o.`{f}` AS `{f}`" for f in fields],

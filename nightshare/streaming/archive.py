@@ -42,11 +42,13 @@ def _live(spark: SparkSession, root: str, commit: dict, buckets: Sequence[int] |
     if not paths:
         return None
     rows = spark.read.option("basePath", f"{root}/archive").schema(T.StructType.fromJson(commit["schema"])).parquet(*paths)
-    fields = [c for c in rows.columns if c not in ("version", "bucket", commit["key"])]
+    fields = [c for c in rows.columns if c not in ("version", commit["key"])]
     if all(len(v) == 1 for v in live.values()):
         return rows.drop("version")
-    newest = rows.groupBy("bucket", commit["key"]).agg(F.max_by(F.struct(*fields), "version").alias("__row"))
-    return newest.select(commit["key"], "__row.*", "bucket")
+    # By the key alone, which settles the bucket: a join on the key needs no other shuffle. Versions of a key lie in different
+    # files, so nothing is combined before the shuffle.
+    newest = rows.repartition(F.col(commit["key"])).groupBy(commit["key"]).agg(F.max_by(F.struct(*fields), "version").alias("__row"))
+    return newest.select(commit["key"], "__row.*")
 
 
 def read_state(spark: SparkSession, root: str) -> DataFrame | None:

@@ -117,3 +117,15 @@ def test_stream_lands_again_from_a_new_checkpoint_and_late(spark, tmp_path):
         rows += batch
         st.archive_changes(spark.readStream.schema(SCHEMA).parquet(landing), root, str(tmp_path / f"cp{n}"), "id", ["name"]).awaitTermination()
         assert held(spark, root) == plain(rows)
+
+
+def test_keys_with_one_plain_day_are_not_walked_and_shuffled_once(spark):
+    """str02_archive_stream: the state of every day at an end, between equal ones or landed again, against all days at once."""
+    days = lambda *at: ar.keyed_captures(frame(spark, list(at)), "id", ["name"], "captured")
+    assert days((1, "a", 1.0, 0))._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    known = [(i, n, 1.0, d) for i in range(9) for n, d in (("a", 0), ("a", 70), (None, 140))]
+    fresh = [(0, "a", 2.0, -80), (1, "b", 2.0, -1), (2, "a", 2.0, 35), (3, "a", 2.0, 70), (4, None, 2.0, 141), (5, "c", 2.0, 400), (6, "c", 2.0, 36), (7, None, 0.5, 140), (10, None, 2.0, 3)]
+    state = ar.advance(None, days(*known), "id", ["name"], ["name", "price"])
+    after = ar.advance(state, days(*fresh), "id", ["name"], ["name", "price"])
+    want = ar.advance(None, days(*known, *fresh), "id", ["name"], ["name", "price"]).where("id <> 8")
+    assert sorted(map(str, after.collect())) == sorted(map(str, want.collect()))
